@@ -88,4 +88,8 @@ def with_ctes(body: str, extra: dict[str, str] | None = None) -> str:
     probe = body + " ".join(ctes.values())
     order = needed(probe)
     parts = [f"{n} AS ({CTES[n]})" for n in order] + [f"{n} AS ({s})" for n, s in ctes.items()]
+    stripped = body.lstrip()
+    if parts and stripped[:4].upper() == "WITH":
+        # body has its own WITH list: merge it after the shared CTEs
+        return "WITH " + ",\n".join(parts) + ",\n" + stripped[4:]
     return ("WITH " + ",\n".join(parts) + "\n" + body) if parts else body

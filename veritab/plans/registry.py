@@ -130,9 +130,16 @@ def r03_popularity(spark, sf_dir):
     return rounded(rm.popularity(train_interactions(spark, sf_dir), REC_COLS))
 
 
+def _load_all() -> None:
+    # query modules register themselves on import
+    from veritab.plans import q_tabular  # noqa: F401
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _load_all()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load_all()
     return dict(_SQL)
