@@ -65,6 +65,18 @@ CTES["popularity"] = """
 SELECT item_id, avg(signal) AS avg_signal, count(*) AS interaction_count FROM train GROUP BY item_id"""
 CTES["transactions"] = fx.SQL_TRANSACTIONS
 CTES["customers"] = fx.SQL_CUSTOMERS
+CTES["scored"] = fx.SQL_SCORED_TRANSACTIONS
+CTES["score_counts"] = """
+SELECT score, CAST(sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS pos,
+       CAST(sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS BIGINT) AS neg FROM scored GROUP BY score"""
+CTES["score_cum"] = """
+SELECT score, pos, neg, sum(pos) OVER w AS tps, sum(neg) OVER w AS fps, row_number() OVER w AS rk,
+       sum(pos) OVER () AS P, sum(neg) OVER () AS N
+FROM score_counts WINDOW w AS (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+CTES["pr_points"] = """
+SELECT score AS threshold, tps / (tps + fps) AS precision, tps / P AS recall, pos,
+       2 * (tps / (tps + fps)) * (tps / P) / greatest(tps / (tps + fps) + tps / P, 1e-12) AS f1
+FROM score_cum WHERE tps - pos < P"""
 
 
 def needed(sql: str) -> list[str]:

@@ -237,6 +237,27 @@ FROM customer JOIN (
 """
 
 
+# ---------------------------------------------------------------- A6 scored transactions
+# fixed formula score used to test the evaluators without a model fit:
+# z = -4 + 0.03 amount + 2 [channel = error] + 0.5 international - 0.3 card_present, score = round(sigmoid(z), 6)
+def scored_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = transactions(spark, sf_dir)
+    z = (((F.lit(-4.0) + F.lit(0.03) * F.col("transaction_amount"))
+          + F.lit(2.0) * (F.col("payment_channel") == "error").cast("double"))
+         + F.lit(0.5) * F.col("is_international").cast("double")) - F.lit(0.3) * F.col("card_present").cast("double")
+    return t.select("transaction_id", "label", F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-z)), 6).alias("score"))
+
+
+SQL_SCORED_TRANSACTIONS = """
+SELECT transaction_id, label,
+       round(1.0 / (1.0 + exp(-((((CAST(-4.0 AS DOUBLE) + CAST(0.03 AS DOUBLE) * transaction_amount)
+             + CAST(2.0 AS DOUBLE) * CAST(payment_channel = 'error' AS DOUBLE))
+             + CAST(0.5 AS DOUBLE) * CAST(is_international AS DOUBLE)) - CAST(0.3 AS DOUBLE) * CAST(card_present AS DOUBLE)))), 6)
+       AS score
+FROM transactions
+"""
+
+
 # ---------------------------------------------------------------- A5 other
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
