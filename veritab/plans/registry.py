@@ -132,7 +132,7 @@ def r03_popularity(spark, sf_dir):
 
 def _load_all() -> None:
     # query modules register themselves on import
-    from veritab.plans import q_eval, q_tabular  # noqa: F401
+    from veritab.plans import q_eval, q_recsys, q_tabular  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
