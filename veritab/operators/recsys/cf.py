@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veritab.operators.prefix import global_running_sums
 from veritab.operators.recsys.signals import clip
@@ -69,10 +70,14 @@ def cf_predict(pairs: DataFrame, cf: DataFrame, pop: DataFrame) -> DataFrame:
     return j.withColumn("prediction", fallback_chain(F.coalesce("cf", F.lit(0.0)), F.col("avg_signal"), mean_avg))
 
 
-def ranked_items(items: DataFrame, order) -> DataFrame:
-    """Global 1-based rank of a small item table in ``order`` (coarse groups = first 3 characters of the id)."""
-    return global_running_sums(items, order, [(F.substring(F.col(I), 1, 3), True)], {"pos": F.lit(1)}) \
-        .withColumn("pos", F.col("pos").cast("long"))
+def ranked_items(items: DataFrame, order, coarse=None) -> DataFrame:
+    """Global 1-based rank of an item table in ``order``.
+
+    ``coarse`` (list of (expression, ascending)) must agree with ``order``; the
+    default groups text ids by their first 3 characters, for id order.
+    """
+    coarse = coarse or [(F.substring(F.col(I), 1, 3), True)]
+    return global_running_sums(items, order, coarse, {"pos": F.lit(1)}).withColumn("pos", F.col("pos").cast("long"))
 
 
 def first_k_per_user(users: DataFrame, ranked: DataFrame, k_col: str) -> DataFrame:
@@ -91,7 +96,8 @@ def cf_recommend(train: DataFrame, cf: DataFrame, pop_ranked: DataFrame, n: int
     seen = seen_pairs(train)
     per_user = seen.groupBy(U).agg(F.count(F.lit(1)).alias("_nseen")).withColumn("_k", F.col("_nseen") + n)
     train_items = train.select(I).distinct()
-    by_id = ranked_items(train_items, [F.col(I).asc()])
+    numeric = not isinstance(train.schema[I].dataType, T.StringType)
+    by_id = ranked_items(train_items, [F.col(I).asc()], [(F.floor(F.col(I) / 4096), True)] if numeric else None)
     padded = first_k_per_user(per_user, by_id, "_k").withColumn("cf", F.lit(None).cast("double"))
     cands = cf.unionByName(padded).groupBy(U, I).agg(F.max("cf").alias("cf"))
     cands = cands.withColumn("cf", F.coalesce("cf", F.lit(0.0))).join(seen, [U, I], "left_anti")

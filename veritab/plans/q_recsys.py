@@ -14,7 +14,7 @@ from veritab.operators.recsys import similarity as sim
 from veritab.operators.recsys.signals import probability_like
 from veritab.plans import oracle_sql as osql
 from veritab.plans.oracle_sql import r6, with_ctes
-from veritab.plans.registry import (REC_COLS, catalog, register, rounded, test_interactions,
+from veritab.plans.registry import (REC_COLS, catalog, hybrid_parts, register, rounded, test_interactions,
                                     train_interactions)
 from veritab.sources import fixtures as fx
 
@@ -27,7 +27,7 @@ def _matrix(spark, sf_dir):
 
 
 def _parts(spark, sf_dir):
-    return hy.fit(train_interactions(spark, sf_dir), catalog(spark, sf_dir), persist=False)
+    return hybrid_parts(spark, sf_dir)
 
 
 @register("r04_item_cosine", with_ctes(f"SELECT a, b, {r6('sim')} AS sim FROM isim WHERE a <= b"))
@@ -86,11 +86,7 @@ SELECT user_id, rank, item_id, {r6(osql.clip('score'))} AS score FROM (
   WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.user_id = u.user_id AND s.item_id = i.item_id))
 WHERE rank <= 10"""))
 def r10_cf_recommend(spark, sf_dir):
-    train = train_interactions(spark, sf_dir)
-    m = rm.user_item_matrix(train, REC_COLS)
-    cf = cfm.cf_scores(m, sim.item_cosine(m), sim.user_cosine(m))
-    pop_r = hy.popularity_ranked(rm.popularity(train, REC_COLS))
-    return rounded(cfm.cf_recommend(train, cf, pop_r, 10))
+    return rounded(hy.cf_top_n(_parts(spark, sf_dir), 10))
 
 
 @register("r11_tfidf", with_ctes(f"SELECT item_id, term, {r6('weight')} AS weight FROM vec"))
@@ -199,7 +195,7 @@ WITH e AS ({_eval_sql(re_.TUNING_GRID)}),
 best AS (SELECT grid FROM e ORDER BY round(precision_at_k, 12) DESC, grid LIMIT 1)
 SELECT e.grid, {r6('precision_at_k')} AS precision_at_k, w.cf_weight, w.cb_weight, w.popularity_weight,
        CAST(NULL AS VARCHAR) AS strategy, e.grid = (SELECT grid FROM best) AS is_best
-FROM e JOIN (VALUES {", ".join(f"({g}, {a}, {b}, {c})" for g, (a, b, c) in enumerate(re_.TUNING_GRID))})
+FROM e JOIN (VALUES {", ".join(f"({g}, CAST({a} AS DOUBLE), CAST({b} AS DOUBLE), CAST({c} AS DOUBLE))" for g, (a, b, c) in enumerate(re_.TUNING_GRID))})
   w(grid, cf_weight, cb_weight, popularity_weight) ON w.grid = e.grid"""))
 def r24_tune_weights(spark, sf_dir):
     parts = _parts(spark, sf_dir)
@@ -207,7 +203,8 @@ def r24_tune_weights(spark, sf_dir):
 
 
 def _presets_values() -> str:
-    return ", ".join(f"({g}, '{n}', {a}, {b}, {c})" for g, (n, a, b, c) in enumerate(re_.PRESETS))
+    return ", ".join(f"({g}, '{n}', CAST({a} AS DOUBLE), CAST({b} AS DOUBLE), CAST({c} AS DOUBLE))"
+                     for g, (n, a, b, c) in enumerate(re_.PRESETS))
 
 
 @register("r25_compare_presets", with_ctes(f"""

@@ -50,12 +50,27 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 # ------------------------------------------------------------------ shared Spark fixtures
+# Fitted inputs are materialised once per (application, data folder): the interaction split,
+# the catalog and the fitted recommender parts. Later queries start from those files.
+_MEMO: dict[tuple, object] = {}
+
+
+def _memo(spark, sf_dir, name, build):
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _MEMO:
+        _MEMO[key] = build()
+    return _MEMO[key]
+
+
 def prepared_interactions(spark, sf_dir):
     return rs.prepare_interactions(fx.interactions(spark, sf_dir), REC_COLS)
 
 
 def split_interactions(spark, sf_dir):
-    return rs.leave_last_out(prepared_interactions(spark, sf_dir), REC_COLS)
+    from veritab.session import materialize
+
+    return _memo(spark, sf_dir, "split", lambda: materialize(
+        rs.leave_last_out(prepared_interactions(spark, sf_dir), REC_COLS), "split"))
 
 
 def train_interactions(spark, sf_dir):
@@ -67,7 +82,16 @@ def test_interactions(spark, sf_dir):
 
 
 def catalog(spark, sf_dir):
-    return rs.content_text(fx.items(spark, sf_dir), order_cols=["catalog_order"])
+    from veritab.session import materialize
+
+    return _memo(spark, sf_dir, "catalog", lambda: materialize(
+        rs.content_text(fx.items(spark, sf_dir), order_cols=["catalog_order"]), "catalog"))
+
+
+def hybrid_parts(spark, sf_dir):
+    from veritab.operators.recsys import hybrid as hy
+
+    return _memo(spark, sf_dir, "hybrid", lambda: hy.fit(train_interactions(spark, sf_dir), catalog(spark, sf_dir)))
 
 
 # ------------------------------------------------------------------ B0 slice
