@@ -23,11 +23,10 @@ def random_oversample(df: DataFrame, label_col: str, key_cols: list[str], seed:
     """Grow every class to the majority count by seeded draws with replacement."""
     spark = df.sparkSession
     ranked = ranked_by_class(df, label_col, key_cols, seed, digits).drop("_h")
-    counts = class_counts(df, label_col)
-    target = counts.select(F.max("_class_n")).scalar()
     # per-class scalars only (one row per label value) reach the driver
-    needs = [(r[label_col], r["_class_n"], target - r["_class_n"]) for r in counts.collect()
-             if r["_class_n"] < target]
+    counts = [(r[label_col], r["_class_n"]) for r in class_counts(df, label_col).collect()]
+    target = max((n for _, n in counts), default=0)
+    needs = [(label, n, target - n) for label, n in counts if n < target]
     if not needs:
         return ranked.drop("_rank").withColumn("copy_id", F.lit(0).cast("long"))
     copies = None
