@@ -166,3 +166,32 @@ def m15_churn_batch_scoring(spark, sf_dir):
                                "logistic_regression", {"C": 1.0, "class_weight": None})
     scored = fitted.score(s, ["customerID", "label"])
     return scored.withColumn("prediction", ft.decode_label(F.col("probability"), "Yes", "No", 0.5))
+
+
+@register("m10_fraud_model_search")
+def m10_fraud_model_search(spark, sf_dir):
+    """M10 + M11: seeded parameter draws x stratified folds, best draw per (model, strategy)."""
+    from veritab.session import materialize
+
+    s = materialize(fraud_split(spark, sf_dir).where("split = 'train'").drop("split"), "fraud_train")
+    results = None
+    for strategy in ("none", "oversample"):
+        r = tr.cross_validate(s, "label", ["transaction_id"], FRAUD_NUMERIC, FRAUD_CATEGORICAL, "logistic_regression",
+                              tr.sample_params("logistic_regression", 1, 42), folds=4, strategy=strategy)
+        results = r if results is None else results.unionByName(r)
+    return tr.compare_models(results)
+
+
+@register("x15_scored_sample")
+def x15_scored_sample(spark, sf_dir):
+    """Seeded sample of 3 customers with inputs, actual label, decoded prediction and probability."""
+    s = churn_split(spark, sf_dir)
+    fitted = tr.fit_classifier(s.where("split = 'train'"), "label", CHURN_NUMERIC, CHURN_CATEGORICAL,
+                               "logistic_regression", {"C": 1.0, "class_weight": None})
+    sample = splits.seeded_sample(s.where("split = 'test'"), ["customerID"], 3, 42)
+    scored = fitted.score(sample, ["customerID", "label"]).join(
+        sample.select("customerID", F.struct("tenure", "Contract", "MonthlyCharges", "TotalCharges").alias("input")),
+        "customerID")
+    return scored.select("customerID", "input", F.when(F.col("label") == 1, "Yes").otherwise("No").alias("actual"), ft.decode_label(F.col("probability")).alias("prediction"),
+                         F.round("probability", 4).alias("probability"), F.lit(0.5).alias("threshold"),
+                         F.lit("1.0").alias("model_version"))

@@ -228,6 +228,20 @@ def r26_binary_relevance(spark, sf_dir):
     return rounded(re_.binary_relevance(parts, test_interactions(spark, sf_dir), DEFAULT_W))
 
 
+@register("r26_binary_relevance_auc", with_ctes(f"""
+WITH b AS (SELECT CAST(signal >= 4.0 AS INTEGER) AS label, {osql.clip('prediction / 5.0', '0.0', '1.0')} AS score
+           FROM ({osql.predict_sql('SELECT user_id, item_id, signal FROM test', DEFAULT_W)})),
+c AS (SELECT score, sum(label) AS pos, sum(1 - label) AS neg FROM b GROUP BY score),
+w AS (SELECT *, sum(neg) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fps,
+             sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM c)
+SELECT {r6('(max(P) * max(N) - sum(pos * fps) + sum(pos * neg * 0.5)) / (max(P) * max(N))')} AS roc_auc FROM w"""))
+def r26_binary_relevance_auc(spark, sf_dir):
+    from veritab.operators import evaluation as ev
+
+    parts = _parts(spark, sf_dir)
+    return rounded(ev.roc_auc(re_.binary_relevance(parts, test_interactions(spark, sf_dir), DEFAULT_W)))
+
+
 @register("r27_scored_recommendations", with_ctes(f"""
 SELECT user_id, rank, item_id, {r6('round(prediction, 4)')} AS predicted_signal,
        {r6(f"round({osql.clip('prediction / 5.0', '0.0', '1.0')}, 4)")} AS probability_like
