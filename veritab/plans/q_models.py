@@ -195,3 +195,43 @@ def x15_scored_sample(spark, sf_dir):
     return scored.select("customerID", "input", F.when(F.col("label") == 1, "Yes").otherwise("No").alias("actual"), ft.decode_label(F.col("probability")).alias("prediction"),
                          F.round("probability", 4).alias("probability"), F.lit(0.5).alias("threshold"),
                          F.lit("1.0").alias("model_version"))
+
+
+@register("m06_importance_selection")
+def m06_importance_selection(spark, sf_dir):
+    """M6: features whose forest importance is at least the median importance."""
+    s = churn_split(spark, sf_dir)
+    fitted = tr.fit_classifier(s.where("split = 'train'"), "label", CHURN_NUMERIC, CHURN_CATEGORICAL,
+                               "random_forest", {"numTrees": 50, "maxDepth": 5, "minInstancesPerNode": 1,
+                                                 "class_weight": None})
+    kept = tr.select_by_importance(fitted)
+    return spark.createDataFrame([(i, n) for i, n in enumerate(kept)], "position int, feature string")
+
+
+@register("m09_churn_gbt_scores")
+def m09_churn_gbt_scores(spark, sf_dir):
+    """M9: gradient-boosted trees (pyspark.ml GBT in place of XGBoost)."""
+    s = churn_split(spark, sf_dir)
+    fitted = tr.fit_classifier(s.where("split = 'train'"), "label", CHURN_NUMERIC, CHURN_CATEGORICAL, "gbt",
+                               {"maxIter": 20, "maxDepth": 3, "stepSize": 0.1, "subsamplingRate": 0.8})
+    return fitted.score(s.where("split = 'test'"), ["customerID", "label"])
+
+
+@register("m14_permutation_importance")
+def m14_permutation_importance(spark, sf_dir):
+    """Mean F1 drop over 8 seeded permutations of each raw column."""
+    from veritab.session import materialize
+
+    s = materialize(churn_split(spark, sf_dir), "churn_split")
+    fitted = tr.fit_classifier(s.where("split = 'train'"), "label", CHURN_NUMERIC, CHURN_CATEGORICAL,
+                               "logistic_regression", {"C": 1.0, "class_weight": None})
+    return tr.permutation_importance(fitted, s.where("split = 'test'"), "label", "customerID",
+                                     ["tenure", "Contract", "MonthlyCharges"], repeats=8, seed=42)
+
+
+@register("p19_minmax_score", with_ctes(f"""
+SELECT transaction_id, {r6("CASE WHEN (SELECT max(score) - min(score) FROM scored) = 0 THEN 0.5 ELSE (score - (SELECT min(score) FROM scored)) / (SELECT max(score) - min(score) FROM scored) END")} AS score_01
+FROM scored"""))
+def p19_minmax_score(spark, sf_dir):
+    sc = fx.scored_transactions(spark, sf_dir)
+    return rounded(ft.minmax_score(sc, "score").select("transaction_id", "score_01"))
