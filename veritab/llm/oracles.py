@@ -101,6 +101,18 @@ SELECT doc_id, size::BIGINT AS size, source_size::BIGINT AS source_size, target,
        CASE WHEN size = 0 THEN 0 ELSE coalesce(taken, 0) END::BIGINT AS taken
 FROM laid JOIN targets USING (sk) LEFT JOIN takes USING (sk, before)"""
 
+SQL["op4_topk_inner_product"] = """
+WITH own AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda v: CAST(floor(64 * v::DOUBLE) AS BIGINT)) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda v: v IS NOT NULL AND isfinite(v))) = len(embedding)),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id,
+         list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i]))::BIGINT AS score
+  FROM own a JOIN own b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 20 = 0),
+ranked AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM scored)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 20"""
+
 #: fixed values: the spellings that count as equal, as in ``licences.SPELLINGS``
 _SPELLINGS = (
     (r"\blicenc(e|es|ed|ing|or|ors)\b", r"licens\1"), (r"isation(s?)\b", r"ization\1"), (r"\bfavour", "favor"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritab.llm import bpe, licences, mixing, rules, sharding
+from veritab.llm import bpe, langid, licences, mixing, resampling, rules, sharding, surrogates, topk
 from veritab.llm.oracles import SQL  # noqa: F401
 
 SHARDS = 40
@@ -33,11 +33,19 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(documents(spark, sf_dir)).drop("ids")
 
 
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replace_entities(documents(spark, sf_dir)).select("doc_id", "text", "pii_count", "pii_kinds")
+
+
 def op3_licence_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licences.scan_licences(documents(spark, sf_dir))
     return found.select("doc_id", "digest", "licence_id", F.col("licence_id").isNotNull().alias("is_licence"))
 
 
+def op4_topk_inner_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op5_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = sharding.interleaved_shards(documents(spark, sf_dir), SHARDS)
     return cut.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -49,9 +57,20 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return resampling.resample(documents(spark, sf_dir), labels)
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = langid.predict(docs, langid.fit(docs))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
