@@ -11,6 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from veritab.llm.staging import staged
+
+#: a table of so many group sizes at most is broadcast
+FEW_GROUPS = 100_000
+
 
 def running(df: DataFrame, group: str, position: str, ties: list, value: str | None = None) -> DataFrame:
     """Add ``n_group``, ``rank`` (from 0) and, given ``value``, ``before`` (its sum over earlier rows of the group).
@@ -18,9 +23,12 @@ def running(df: DataFrame, group: str, position: str, ties: list, value: str | N
     ``df`` must be a written table (see ``staged``): it is read once for the sizes, once for the bucket sums and
     once for the rows. ``group`` must not hold nulls. Rows equal in position and ties are interchangeable.
     """
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("n_group"))
-    cut = df.join(sizes, group).withColumn(
+    sizes = staged(df.groupBy(group).agg(F.count(F.lit(1)).alias("n_group")), "group-sizes")
+    few = sizes.count() <= FEW_GROUPS
+    cut = df.join(F.broadcast(sizes) if few else sizes, group).withColumn(
         "_bucket", F.floor(F.col(position) * F.ceil(F.sqrt(F.col("n_group")))).cast("long"))
+    if not few:  # rows dealt by group for the join must be dealt by bucket, else a hot group stays in one task
+        cut = cut.repartition(group, "_bucket")
     sums = [F.count(F.lit(1)).alias("_rows")] + ([F.sum(value).alias("_sum")] if value else [])
     earlier = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = cut.groupBy(group, "_bucket").agg(*sums)
