@@ -113,6 +113,29 @@ scored AS (
 ranked AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM scored)
 SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 20"""
 
+SQL["op7_jaccard_components"] = r"""
+WITH RECURSIVE worded AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT rid, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i+1] || ' ' || w[i+2] || ' ' || w[i+3]))) END AS s
+  FROM worded),
+classes AS (SELECT s, len(s) AS n, min(rid) AS c FROM sets WHERE len(s) > 0 GROUP BY s),
+grams AS (SELECT c, n, unnest(s) AS g FROM classes),
+shared AS (
+  SELECT a.c AS a, b.c AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS k
+  FROM grams a JOIN grams b ON a.g = b.g AND a.c < b.c AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n) GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared WHERE 185 * k >= 85 * (na + nb)),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT c AS a, c AS b FROM classes UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
+groups AS (SELECT a AS c, min(b) AS grp FROM reach GROUP BY a),
+placed AS (SELECT doc_id, len(x.s) AS n, grp FROM sets x LEFT JOIN classes k ON x.s = k.s AND len(x.s) > 0 LEFT JOIN groups USING (c)),
+least_id AS (SELECT grp, min(doc_id) AS id FROM placed WHERE n > 0 GROUP BY grp)
+SELECT doc_id, n::BIGINT AS n_shingles, CASE WHEN n > 0 THEN id ELSE doc_id END AS component_id
+FROM placed LEFT JOIN least_id USING (grp)"""
+
 #: fixed values: the spellings that count as equal, as in ``licences.SPELLINGS``
 _SPELLINGS = (
     (r"\blicenc(e|es|ed|ing|or|ors)\b", r"licens\1"), (r"isation(s?)\b", r"ization\1"), (r"\bfavour", "favor"),

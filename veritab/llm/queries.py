@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritab.llm import bpe, langid, licences, mixing, resampling, rules, sharding, surrogates, topk
+from veritab.llm import bpe, jaccard, langid, licences, mixing, resampling, rules, sharding, surrogates, topk
 from veritab.llm.oracles import SQL  # noqa: F401
 
 SHARDS = 40
@@ -57,6 +57,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op7_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similarity_components(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return resampling.resample(documents(spark, sf_dir), labels)
