@@ -221,11 +221,14 @@ def replace_entities(docs: DataFrame, key: str = "surrogates-1", text_col: str =
     clean = docs.where(~marked).withColumns({"pii_count": F.lit(0), "pii_kinds": F.array().cast("array<string>")})
     dirty = docs.where(marked).withColumn("_digest", F.sha2(text, 256))
     texts = dirty.groupBy("_digest").agg(F.first(text).alias("_text"))
-    found = texts.select("_digest", F.split("_text", ANY, -1).alias("_gaps"), F.posexplode(
-        F.regexp_extract_all("_text", F.lit(ANY), F.lit(0))).alias("_at", "_entity"))
-    found = found.select("_digest", "_at", F.get("_gaps", F.col("_at")).alias("_before"), F.when(
-        F.col("_at") == F.size("_gaps") - 2, F.get("_gaps", F.col("_at") + 1)).alias("_after"),
-        "_entity", kind_of(F.col("_entity")).alias("_kind"))
+    # each entity takes along the text before it, the last one also the text after it
+    items = let(F.struct(F.split("_text", ANY, -1).alias("gaps"), F.regexp_extract_all("_text", F.lit(ANY), F.lit(0)).alias("all")),
+                lambda x: F.transform(x["all"], lambda e, i: F.struct(
+                    F.get(x["gaps"], i).alias("before"), e.alias("entity"),
+                    F.when(i == F.size(x["gaps"]) - 2, F.get(x["gaps"], i + 1)).alias("after"))))
+    found = texts.select("_digest", items.alias("_items")).select("_digest", F.posexplode("_items").alias("_at", "_item"))
+    found = found.select("_digest", "_at", F.col("_item.before").alias("_before"), F.col("_item.after").alias("_after"),
+                         F.col("_item.entity").alias("_entity"), kind_of(F.col("_item.entity")).alias("_kind"))
     parts = found.select("_digest", "_at", "_before", "_after", "_kind", F.posexplode(
         pieces_of(F.col("_kind"), F.col("_entity"))).alias("_part", "_piece"))
     parts = staged(parts.select("_digest", "_at", "_part", "_before", "_after", "_kind", F.col("_piece.kind").alias("kind"),
