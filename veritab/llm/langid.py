@@ -15,11 +15,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
-#: documented bounds of the training sample: documents and bytes for each language
-SAMPLE_DOCS, DICTIONARY_BYTES = 200, 65_536
+#: documented bounds of the training sample: documents, letters of each and dictionary bytes for each language
+SAMPLE_DOCS, SAMPLE_LETTERS, DICTIONARY_BYTES = 200, 1_024, 65_536
 #: texts are encoded in slices of so many bytes, each on its own, so that the dictionary matters in long texts too
-SLICE_BYTES = 8_192
-LEVEL = 1
+SLICE_BYTES = 4_096
+LEVEL = 6
 #: a decision is rejected when the best encoding is not smaller than the runner-up's by this share
 MIN_MARGIN = 0.01
 
@@ -29,17 +29,21 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
+def letters(text: Column) -> Column:
+    """What is encoded: the whole text in lower case, one space for whatever is no letter."""
+    return F.regexp_replace(F.lower(text), r"\P{L}+", " ")
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> list[tuple[str, bytes]]:
     """(language, dictionary) pairs in order of language, all dictionaries of one size.
 
     Learns from rows with a text and a language that are not held out: of each language the ``SAMPLE_DOCS`` rows of
-    smallest keyed hash, each adding at most an eighth of the dictionary.
+    smallest keyed hash, each adding at most ``SAMPLE_LETTERS``, until the dictionary is full.
     """
-    part = DICTIONARY_BYTES // 8
     rows = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & ~held_out(F.col(id_col)))
     rows = rows.select(F.col(lang_col).cast("string").alias("lang"),
                        F.md5(F.concat_ws("|", F.col(id_col).cast("string"), F.crc32(F.col(text_col).cast("binary")))).alias("_key"),
-                       F.substring(F.lower(F.col(text_col)), 1, part).alias("_sample"))
+                       F.substring(letters(F.col(text_col)), 1, SAMPLE_LETTERS).alias("_sample"))
     first = Window.partitionBy("lang").orderBy("_key", "_sample")
     rows = rows.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= SAMPLE_DOCS)
     found: dict[str, list[bytes]] = {}
@@ -51,7 +55,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
 
 def sizes(text: str, compressors: list) -> list[int]:
-    raw = text.lower().encode("utf-8", "replace")
+    raw = text.encode("utf-8", "replace")
     slices = [raw[i:i + SLICE_BYTES] for i in range(0, len(raw), SLICE_BYTES)]
     return [sum(len(c.compress(s)) for s in slices) for c in compressors]
 
@@ -75,7 +79,7 @@ def predict(docs: DataFrame, dictionaries: list[tuple[str, bytes]], keep: list[s
     from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
     text = F.col(text_col).cast("string")
-    slim = docs.select(*[F.col(f"`{c}`") for c in keep], F.when(text.rlike(r"\p{L}"), text).alias("_text"))
+    slim = docs.select(*[F.col(f"`{c}`") for c in keep], F.when(text.rlike(r"\p{L}"), letters(text)).alias("_text"))
     out_schema = StructType([*slim.schema.fields[:-1], StructField("lang_pred", StringType()),
                              StructField("score", DoubleType()), StructField("rejected", BooleanType())])
     arrow, n_kept = to_arrow_schema(out_schema), len(keep)
