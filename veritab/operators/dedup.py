@@ -35,7 +35,6 @@ def dedup_items(df: DataFrame, item_col: str = "item_id", order_cols=None) -> Da
     return keep_first(df, [item_col], order_cols)
 
 
-def distinct_count(df: DataFrame, col: str, approx: bool = False) -> DataFrame:
-    """Number of distinct values (exact by default; HyperLogLog++ opt-in)."""
-    agg = F.approx_count_distinct(col) if approx else F.count_distinct(col)
-    return df.agg(agg.alias(f"n_distinct_{col}"))
+def distinct_count(df: DataFrame, col: str) -> DataFrame:
+    """Exact number of distinct values."""
+    return df.agg(F.count_distinct(col).alias(f"n_distinct_{col}"))

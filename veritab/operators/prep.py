@@ -1,8 +1,8 @@
 """M1-M5: exact fitted preprocessing (median / most-frequent imputation, standard scaling, one-hot).
 
-``fit_prep`` runs two aggregate passes over the training frame and brings only
-scalars (medians, means, stds, modes) and the per-column category lists to
-the driver; ``PrepModel.transform`` applies them as literal column
+``fit_prep`` counts values in executors and brings only scalars (medians, means,
+stds, modes) and the per-column category lists (an error above a documented
+number) to the driver; ``PrepModel.transform`` applies them as literal column
 expressions (JVM-side, no UDF) and can emit a ``VectorUDT`` column for
 ``pyspark.ml``. Semantics: median = mean of the two middle values; mode ties
 -> smallest value; population std with 0 -> 1; scaling is fitted on the
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veritab.operators.profile import NUMERIC
+from veritab.operators.profile import NUMERIC, exact_quantiles, most_frequent
 
 
 @dataclass
@@ -71,23 +71,19 @@ def split_by_dtype(df: DataFrame, exclude=()) -> tuple[list[str], list[str]]:
     return num, cat
 
 
-def fit_prep(df: DataFrame, numeric: list[str], categorical: list[str], exact: bool = True) -> PrepModel:
-    """Fit M1-M4: medians and modes (job 1), mean / population std of the imputed columns (job 2),
-    category lists (job 3, bounded by each column's cardinality)."""
+#: categories of all columns together that a one-hot model may have; more is an error, never a cut
+MAX_CATEGORIES = 10_000
+
+
+def fit_prep(df: DataFrame, numeric: list[str], categorical: list[str]) -> PrepModel:
+    """Fit M1-M4: medians and modes from value counts, mean / population std of the imputed columns, category lists."""
     model = PrepModel(list(numeric), list(categorical))
-    aggs = []
-    for i, c in enumerate(numeric):
-        x = F.col(c).cast("double")
-        med = F.median(x) if exact else F.percentile_approx(x, 0.5, 10000).cast("double")
-        aggs.append(med.alias(f"med{i}"))
-    for i, c in enumerate(categorical):
-        aggs.append(F.mode(F.col(c).cast("string"), True).alias(f"mode{i}"))
-    if aggs:
-        row = df.agg(*aggs).collect()[0]
-        for i, c in enumerate(numeric):
-            model.medians[c] = row[f"med{i}"] if row[f"med{i}"] is not None else 0.0
-        for i, c in enumerate(categorical):
-            model.modes[c] = row[f"mode{i}"]
+    if numeric:
+        medians = {r["column"]: r["value"] for r in exact_quantiles(df, numeric, (0.5,)).collect()}
+        model.medians = {c: medians.get(c, 0.0) for c in numeric}
+    if categorical:
+        modes = {r["column"]: r["value"] for r in most_frequent(df, categorical).collect()}
+        model.modes = {c: modes.get(c) for c in categorical}
     if numeric:
         imputed = [F.coalesce(F.col(c).cast("double"), F.lit(model.medians[c])) for c in numeric]
         row = df.agg(*[F.avg(x).alias(f"m{i}") for i, x in enumerate(imputed)],
@@ -99,7 +95,10 @@ def fit_prep(df: DataFrame, numeric: list[str], categorical: list[str], exact: b
         stacked = df.select(F.explode(F.array(*[
             F.struct(F.lit(c).alias("col"), F.coalesce(F.col(c).cast("string"), F.lit(model.modes[c])).alias("val"))
             for c in categorical])).alias("kv")).select("kv.col", "kv.val").where(F.col("val").isNotNull()).distinct()
-        for r in stacked.collect():
+        found = stacked.limit(MAX_CATEGORIES + 1).collect()
+        if len(found) > MAX_CATEGORIES:
+            raise ValueError(f"more than {MAX_CATEGORIES} categories in {categorical}: too many to one-hot encode")
+        for r in found:
             model.categories.setdefault(r["col"], []).append(r["val"])
         for c in categorical:
             model.categories[c] = sorted(model.categories.get(c, []))

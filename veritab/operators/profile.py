@@ -25,27 +25,55 @@ def string_columns(df: DataFrame, exclude=()) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in exclude]
 
 
-def _quantile(c: Column, p: float, exact: bool) -> Column:
-    return F.percentile(c, p) if exact else F.percentile_approx(c, p, 10000).cast("double")
+def value_counts(df: DataFrame, cols: list[str], dtype: str) -> DataFrame:
+    """(column, value, n) of the non-null values of every column, in one pass with map-side counts."""
+    kv = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast(dtype).alias("value")) for c in cols])
+    return df.select(F.explode(kv).alias("kv")).select("kv.*").where(F.col("value").isNotNull()) \
+        .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def describe_numeric(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -> DataFrame:
-    """X1 (numeric part): count, mean, sample std, min, quartiles (linear interpolation), max per column.
+def exact_quantiles(df: DataFrame, cols: list[str], probs: tuple[float, ...]) -> DataFrame:
+    """(column, p, value): quantiles with linear interpolation, from value counts and running counts.
 
-    ``exact=False`` switches to ``percentile_approx`` for very large inputs.
+    The value at position h = p (n - 1) lies between the values at floor(h) and
+    ceil(h); a value holds the positions from its running count before to the
+    one after. No column is ever sorted or held in one task.
     """
+    counts = value_counts(df, cols, "double")
+    ran = global_running_sums(counts, [F.col("column").asc(), F.col("value").asc()], {"upto": F.col("n")})
+    totals = ran.groupBy("column").agg(F.sum("n").alias("rows"), F.min(F.col("upto") - F.col("n")).alias("start"))
+    placed = ran.join(F.broadcast(totals), "column") \
+        .withColumns({"hi": F.col("upto") - F.col("start"), "lo": F.col("upto") - F.col("start") - F.col("n")}) \
+        .withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs]))) \
+        .withColumn("h", F.col("p") * (F.col("rows") - 1))
+    has = lambda at: (at >= F.col("lo")) & (at < F.col("hi"))
+    low, high = F.floor("h"), F.ceil("h")
+    ends = placed.where(has(low) | has(high)).groupBy("column", "p").agg(
+        F.first("h").alias("h"), F.max(F.when(has(low), F.col("value"))).alias("a"),
+        F.max(F.when(has(high), F.col("value"))).alias("b"))
+    return ends.select("column", "p", (F.col("a") + (F.col("b") - F.col("a")) * (F.col("h") - F.floor("h"))).alias("value"))
+
+
+def most_frequent(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(column, value): the most frequent non-null value as text; ties -> smallest."""
+    counts = value_counts(df, cols, "string")
+    return counts.groupBy("column").agg(F.min_by("value", F.struct(F.negative(F.col("n")), F.col("value"))).alias("value"))
+
+
+def describe_numeric(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """X1 (numeric part): count, mean, sample std, min, quartiles (linear interpolation), max per column."""
     cols = cols or numeric_columns(df)
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"std{i}"),
-                 F.min(x).alias(f"min{i}"), _quantile(x, 0.25, exact).alias(f"p25_{i}"),
-                 _quantile(x, 0.5, exact).alias(f"p50_{i}"), _quantile(x, 0.75, exact).alias(f"p75_{i}"),
-                 F.max(x).alias(f"max{i}")]
-    row = df.agg(*aggs)
-    stack = ", ".join(f"'{c}', n{i}, mean{i}, std{i}, min{i}, p25_{i}, p50_{i}, p75_{i}, max{i}"
-                      for i, c in enumerate(cols))
-    return row.selectExpr(f"stack({len(cols)}, {stack}) AS (column, count, mean, std, min, p25, p50, p75, max)")
+                 F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}")]
+    stack = ", ".join(f"'{c}', n{i}, mean{i}, std{i}, min{i}, max{i}" for i, c in enumerate(cols))
+    stats = df.agg(*aggs).selectExpr(f"stack({len(cols)}, {stack}) AS (column, count, mean, std, min, max)")
+    at = lambda p, name: F.max(F.when(F.col("p") == p, F.col("value"))).alias(name)
+    quartiles = exact_quantiles(df, cols, (0.25, 0.5, 0.75)).groupBy("column").agg(
+        at(0.25, "p25"), at(0.5, "p50"), at(0.75, "p75"))
+    return stats.join(quartiles, "column", "left").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def describe_categorical(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -100,20 +128,20 @@ def pairwise_correlation(df: DataFrame, cols: list[str] | None = None) -> DataFr
 
 
 def class_histogram(df: DataFrame, value_col: str, label_col: str | None, bins: int = 30) -> DataFrame:
-    """Equal-width bins over [min, max] (max falls in the last bin); density normalised per class."""
+    """Equal-width bins over [min, max] (max falls in the last bin); density normalised per class.
+
+    Two passes: the range, then one grouped count; class sizes are sums of the counts.
+    """
     x = F.col(value_col).cast("double")
-    stats = df.agg(F.min(x).alias("mn"), F.max(x).alias("mx"))
-    mn, mx = stats.select("mn").scalar(), stats.select("mx").scalar()
+    stats = df.agg(F.min(x).alias("mn"), F.max(x).alias("mx")).select(F.struct("mn", "mx")).scalar()
+    mn, mx = stats.getField("mn"), stats.getField("mx")
     width = (mx - mn) / bins
     b = F.least(F.floor((x - mn) / (mx - mn) * bins) + 1, F.lit(bins))
     b = F.when(mx == mn, F.lit(1)).otherwise(b).cast("int")
     keys = [label_col] if label_col else []
     counted = df.where(x.isNotNull()).groupBy(*keys, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    per_class = df.where(x.isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if keys else None
-    if per_class is not None:
-        counted = counted.join(F.broadcast(per_class), keys)
-    else:
-        counted = counted.withColumn("_n", df.where(x.isNotNull()).select(F.count(F.lit(1))).scalar())
+    # one row per class and bin
+    counted = counted.withColumn("_n", F.sum("count").over(Window.partitionBy(*keys)))
     w = F.when(width == 0, F.lit(1.0)).otherwise(width)
     return counted.select(*keys, "bin", (mn + (F.col("bin") - 1) * width).alias("bin_lo"), "count",
                           (F.col("count") / (F.col("_n") * w)).alias("density"))
@@ -165,19 +193,22 @@ def popular_items_with_titles(interactions: DataFrame, items: DataFrame, n: int
     return top.join(items.select(item_col, "title", "genres"), item_col, "left")
 
 
-def item_pearson(matrix: DataFrame, user_col: str = "user_id", item_col: str = "item_id",
+def item_pearson(asked: DataFrame, matrix: DataFrame, user_col: str = "user_id", item_col: str = "item_id",
                  value_col: str = "r") -> DataFrame:
-    """X11: item-item Pearson over zero-filled user columns, for co-rated pairs (a < b).
+    """X11: Pearson over zero-filled user columns of every asked item a and every other item b sharing a user.
 
     With n = number of users, Sx = sum, Sxx = sum of squares per item and Sxy
     over common users, r = (n Sxy - Sx Sy) / sqrt((n Sxx - Sx^2)(n Syy - Sy^2));
     the zero entries never need to exist.
     """
+    from veritab.operators.recsys.similarity import blocked_join
+
     n_users = matrix.select(F.count_distinct(user_col)).scalar()
     stats = matrix.groupBy(item_col).agg(F.sum(value_col).alias("sx"), F.sum(F.col(value_col) ** 2).alias("sxx"))
-    a = matrix.select(F.col(user_col), F.col(item_col).alias("a"), F.col(value_col).alias("xa"))
+    a = matrix.join(asked.select(item_col).distinct(), item_col, "left_semi") \
+        .select(F.col(user_col), F.col(item_col).alias("a"), F.col(value_col).alias("xa"))
     b = matrix.select(F.col(user_col), F.col(item_col).alias("b"), F.col(value_col).alias("xb"))
-    sxy = a.join(b, user_col).where(F.col("a") < F.col("b")).groupBy("a", "b") \
+    sxy = blocked_join(a, b, user_col, "b").where(F.col("a") != F.col("b")).groupBy("a", "b") \
         .agg(F.sum(F.col("xa") * F.col("xb")).alias("sxy"))
     sa = stats.select(F.col(item_col).alias("a"), F.col("sx").alias("sa"), F.col("sxx").alias("saa"))
     sb = stats.select(F.col(item_col).alias("b"), F.col("sx").alias("sb"), F.col("sxx").alias("sbb"))
@@ -199,12 +230,10 @@ def catalog_coverage(interactions: DataFrame, items: DataFrame, item_col: str =
 def popularity_curve(interactions: DataFrame, item_col: str = "item_id") -> DataFrame:
     """(rank, count) with rank 1 = most interacted item (count desc, item asc).
 
-    The global rank is a running count over coarse groups (one per count value).
+    The global rank is a running count (no single-task window).
     """
     counts = interactions.groupBy(item_col).agg(F.count(F.lit(1)).alias("count"))
-    ranked = global_running_sums(counts, [F.col("count").desc(), F.col(item_col).asc()],
-                                 [(F.col("count"), False), (F.substring(F.col(item_col), 1, 3), True)],
-                                 {"rank": F.lit(1)})
+    ranked = global_running_sums(counts, [F.col("count").desc(), F.col(item_col).asc()], {"rank": F.lit(1)})
     return ranked.select(item_col, "count", F.col("rank").cast("long").alias("rank"))
 
 

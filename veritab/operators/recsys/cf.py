@@ -1,4 +1,4 @@
-"""Collaborative filtering scores, blend, prediction and top-N.
+"""Collaborative filtering scores, blend, prediction and top-N for asked users.
 
 Scores exist only for (user, item) pairs that share a co-occurrence; every
 other train item scores 0. Top-N therefore ranks the touched items together
@@ -11,19 +11,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from veritab.operators.prefix import global_running_sums
 from veritab.operators.recsys.signals import clip
-from veritab.operators.recsys.similarity import top_k_per_key
+from veritab.operators.recsys.similarity import blocked_join, item_cosine, top_k_per_key, user_cosine
 
 U, I = "user_id", "item_id"
 
 
-def item_based_scores(matrix: DataFrame, item_sim: DataFrame) -> DataFrame:
-    """sum_j sim(i,j) r(u,j) / sum_j |sim(i,j)| over the user's items j; 0/0 -> 0."""
-    m = matrix.select(U, F.col(I).alias("j"), "r")
-    s = item_sim.select(F.col("a").alias("j"), F.col("b").alias(I), "sim")
+def item_based_scores(asked: DataFrame, matrix: DataFrame) -> DataFrame:
+    """R6 for the asked users: sum_j sim(i,j) r(u,j) / sum_j |sim(i,j)| over the user's items j; 0/0 -> 0."""
+    m = matrix.join(asked.select(U).distinct(), U, "left_semi").select(U, F.col(I).alias("j"), "r")
+    s = item_cosine(m.select(F.col("j").alias(I)), matrix).select(F.col("a").alias("j"), F.col("b").alias(I), "sim")
     agg = m.join(s, "j").groupBy(U, I).agg(F.sum(F.col("sim") * F.col("r")).alias("_num"),
                                            F.sum(F.abs("sim")).alias("_den"))
     return agg.select(U, I, F.when(F.col("_den") != 0, F.col("_num") / F.col("_den")).otherwise(0.0).alias("item_score"))
@@ -43,11 +42,11 @@ def user_based_scores(matrix: DataFrame, nbrs: DataFrame) -> DataFrame:
     return num.join(den, U).select(U, I, (F.col("_num") / F.col("_den")).alias("user_score"))
 
 
-def cf_scores(matrix: DataFrame, item_sim: DataFrame, user_sim: DataFrame, k: int = 20, item_blend: float = 0.65,
+def cf_scores(asked: DataFrame, matrix: DataFrame, k: int = 20, item_blend: float = 0.65,
               user_blend: float = 0.35) -> DataFrame:
-    """0.65 item + 0.35 user when the user has neighbours, else the item score alone; column ``cf``."""
-    nbrs = neighbours(user_sim, k)
-    ib = item_based_scores(matrix, item_sim)
+    """R8 for the asked users: 0.65 item + 0.35 user, or the item score alone without neighbours; column ``cf``."""
+    nbrs = neighbours(user_cosine(asked, matrix), k)
+    ib = item_based_scores(asked, matrix)
     ub = user_based_scores(matrix, nbrs)
     has_nb = nbrs.select(U).distinct().withColumn("_has_nb", F.lit(True))
     j = ib.join(ub, [U, I], "full_outer").join(has_nb, U, "left")
@@ -64,26 +63,28 @@ def fallback_chain(score, avg_signal, mean_avg):
 
 
 def cf_predict(pairs: DataFrame, cf: DataFrame, pop: DataFrame) -> DataFrame:
-    """Prediction for requested (user, item) pairs."""
+    """Prediction for asked (user, item) pairs from their CF scores (see ``hybrid.scores_of_pairs``)."""
     mean_avg = pop.select(F.avg("avg_signal")).scalar()
     j = pairs.join(cf, [U, I], "left").join(pop.select(I, "avg_signal"), I, "left")
     return j.withColumn("prediction", fallback_chain(F.coalesce("cf", F.lit(0.0)), F.col("avg_signal"), mean_avg))
 
 
-def ranked_items(items: DataFrame, order, coarse=None) -> DataFrame:
-    """Global 1-based rank of an item table in ``order``.
+def ranked_items(items: DataFrame, order) -> DataFrame:
+    """Global 1-based rank of an item table in ``order``."""
+    return global_running_sums(items, order, {"pos": F.lit(1)}).withColumn("pos", F.col("pos").cast("long"))
 
-    ``coarse`` (list of (expression, ascending)) must agree with ``order``; the
-    default groups text ids by their first 3 characters, for id order.
-    """
-    coarse = coarse or [(F.substring(F.col(I), 1, 3), True)]
-    return global_running_sums(items, order, coarse, {"pos": F.lit(1)}).withColumn("pos", F.col("pos").cast("long"))
+
+#: users that meet one rank of a list in one task, about
+USERS_PER_RANK = 50_000
 
 
 def first_k_per_user(users: DataFrame, ranked: DataFrame, k_col: str) -> DataFrame:
-    """(user, item) for the first ``k_col`` items of a ranked table, per user, via explode + equi-join on rank."""
-    wanted = users.select(U, F.explode(F.sequence(F.lit(1), F.col(k_col).cast("long"))).alias("pos"))
-    return wanted.join(ranked.select("pos", I), "pos").select(U, I)
+    """(user, item) for the first ``k_col`` items of a ranked table, per user, via explode + equi-join on rank.
+
+    Every user holds the first ranks, so these are dealt by user into blocks.
+    """
+    wanted = users.select(U, F.explode(F.sequence(F.lit(1).cast("long"), F.col(k_col).cast("long"))).alias("pos"))
+    return blocked_join(ranked.select("pos", I), wanted, "pos", U, USERS_PER_RANK).select(U, I)
 
 
 def seen_pairs(train: DataFrame) -> DataFrame:
@@ -91,13 +92,11 @@ def seen_pairs(train: DataFrame) -> DataFrame:
     return train.select(U, I).distinct()
 
 
-def cf_recommend(train: DataFrame, cf: DataFrame, pop_ranked: DataFrame, n: int = 10) -> DataFrame:
-    """Per known user, unseen train items by CF score desc (ties item asc), clipped; (user, rank, item, score)."""
-    seen = seen_pairs(train)
+def cf_recommend(users: DataFrame, train: DataFrame, cf: DataFrame, pop_ranked: DataFrame, n: int = 10) -> DataFrame:
+    """Per asked known user, unseen train items by CF score desc (ties item asc), clipped; (user, rank, item, score)."""
+    seen = seen_pairs(train).join(users.select(U).distinct(), U, "left_semi")
     per_user = seen.groupBy(U).agg(F.count(F.lit(1)).alias("_nseen")).withColumn("_k", F.col("_nseen") + n)
-    train_items = train.select(I).distinct()
-    numeric = not isinstance(train.schema[I].dataType, T.StringType)
-    by_id = ranked_items(train_items, [F.col(I).asc()], [(F.floor(F.col(I) / 4096), True)] if numeric else None)
+    by_id = ranked_items(train.select(I).distinct(), [F.col(I).asc()])
     padded = first_k_per_user(per_user, by_id, "_k").withColumn("cf", F.lit(None).cast("double"))
     cands = cf.unionByName(padded).groupBy(U, I).agg(F.max("cf").alias("cf"))
     cands = cands.withColumn("cf", F.coalesce("cf", F.lit(0.0))).join(seen, [U, I], "left_anti")

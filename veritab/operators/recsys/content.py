@@ -10,17 +10,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from veritab.functions.text import STOP_WORDS_EN, terms_frame
+from veritab.operators.recsys.similarity import blocked_join
 
 
 def tfidf(docs: DataFrame, id_col: str = "item_id", text_col: str = "content_text", stop_words=STOP_WORDS_EN,
-          ngram_max: int = 2, max_df: float | None = None) -> DataFrame:
-    """``(id, term, weight)``. ``max_df`` (fraction) drops very common terms - off by default."""
+          ngram_max: int = 2) -> DataFrame:
+    """``(id, term, weight)``."""
     n_docs = docs.select(F.count(F.lit(1))).scalar()
     exploded = terms_frame(docs, id_col, text_col, stop_words, ngram_max)
     tf = exploded.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
     dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    if max_df is not None:
-        dfreq = dfreq.where(F.col("df") <= F.lit(max_df) * n_docs)
     idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     weighted = tf.join(dfreq, "term").withColumn("w", F.col("tf") * idf)
     # a document's group is its own distinct terms: bounded by the document, not by the corpus
@@ -28,13 +27,13 @@ def tfidf(docs: DataFrame, id_col: str = "item_id", text_col: str = "content_tex
     return weighted.select(id_col, "term", (F.col("w") / norm).alias("weight"))
 
 
-def content_similarity(vectors: DataFrame, id_col: str = "item_id") -> DataFrame:
-    """Dot products of L2 rows sharing a term, unordered pairs mirrored, self pairs excluded."""
-    a = vectors.select(F.col(id_col).alias("a"), "term", F.col("weight").alias("wa"))
+def content_similarity(asked: DataFrame, vectors: DataFrame, id_col: str = "item_id") -> DataFrame:
+    """Dot products of the asked items with every other item sharing a term; (a, b, sim)."""
+    a = vectors.join(asked.select(id_col).distinct(), id_col, "left_semi") \
+        .select(F.col(id_col).alias("a"), "term", F.col("weight").alias("wa"))
     b = vectors.select(F.col(id_col).alias("b"), "term", F.col("weight").alias("wb"))
-    half = a.join(b, "term").where(F.col("a") < F.col("b")).groupBy("a", "b") \
+    return blocked_join(a, b, "term", "b").where(F.col("a") != F.col("b")).groupBy("a", "b") \
         .agg(F.sum(F.col("wa") * F.col("wb")).alias("sim"))
-    return half.unionByName(half.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
 
 
 def user_profiles(train: DataFrame, vectors: DataFrame, user: str = "user_id", item: str = "item_id",
@@ -62,7 +61,7 @@ def profile_dots(profiles: DataFrame, vectors: DataFrame, user: str = "user_id",
     """R14 core: ``(user, item, dot)`` for item vectors sharing at least one term with the profile."""
     p = profiles.select(user, "term", F.col("weight").alias("pw"))
     v = vectors.select(item, "term", F.col("weight").alias("iw"))
-    return p.join(v, "term").groupBy(user, item).agg(F.sum(F.col("pw") * F.col("iw")).alias("dot"))
+    return blocked_join(p, v, "term", item).groupBy(user, item).agg(F.sum(F.col("pw") * F.col("iw")).alias("dot"))
 
 
 def content_scores(dots: DataFrame) -> DataFrame:

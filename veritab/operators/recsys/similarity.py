@@ -1,53 +1,58 @@
-"""Cosine similarities over the long matrix, by self-join on the shared key.
-
-Each unordered pair is produced once (``a < b``) and mirrored; norms are
-joined on afterwards. The join key (user for R4, item for R5, term for R12)
-can be skewed: adaptive execution splits oversized join partitions across
-tasks (``spark.sql.adaptive.skewJoin.enabled``), so a hot key is never one
-task. The pair output itself is the operator's result and grows with the
-number of co-occurring pairs.
+"""Cosine similarities of asked entities over the long matrix, by join on the shared key.
+
+Only the asked entities stand on the left of the join, so the work is theirs
+and not that of all pairs. A key that very many entities share (a popular item,
+a common term) is cut into blocks, so that no task holds all its rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: rows of one key that are joined in one task, about
+BLOCK_ROWS = 20_000
+
+
+def blocked_join(few: DataFrame, many: DataFrame, key: str, spread: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Equi-join on ``key``; a key's rows of ``many`` are dealt by ``spread`` into blocks, each met by all of ``few``."""
+    sizes = many.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("long").alias("_blocks"))
+    many = many.join(sizes, key).withColumn("_block", F.pmod(F.xxhash64(spread), F.col("_blocks"))).drop("_blocks")
+    few = few.join(sizes, key).withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
+    return few.drop("_blocks").join(many, [key, "_block"]).drop("_block")
 
-def cosine_pairs(long: DataFrame, key: str, entity: str, value: str, include_self: bool = True) -> DataFrame:
-    """cos(a, b) = sum_k x(k,a) x(k,b) / (|a| |b|) for every pair sharing a ``key``; columns (a, b, sim)."""
+
+def cosine_of(asked: DataFrame, long: DataFrame, key: str, entity: str, value: str) -> DataFrame:
+    """cos(a, b) = sum_k x(k,a) x(k,b) / (|a| |b|) of every asked entity a and every b sharing a ``key``; (a, b, sim).
+
+    ``asked`` has a column ``entity``; every neighbour of an asked entity is
+    returned, itself included with similarity 1.
+    """
     x = long.select(F.col(key).alias("_k"), F.col(entity).alias("_e"), F.col(value).cast("double").alias("_x"))
     norms = x.groupBy("_e").agg(F.sqrt(F.sum(F.col("_x") * F.col("_x"))).alias("_norm"))
-    a = x.select("_k", F.col("_e").alias("a"), F.col("_x").alias("xa"))
+    wanted = asked.select(F.col(entity).alias("_e")).distinct()
+    a = x.join(wanted, "_e", "left_semi").select("_k", F.col("_e").alias("a"), F.col("_x").alias("xa"))
     b = x.select("_k", F.col("_e").alias("b"), F.col("_x").alias("xb"))
-    dots = a.join(b, "_k").where(F.col("a") < F.col("b")) \
-        .groupBy("a", "b").agg(F.sum(F.col("xa") * F.col("xb")).alias("_dot"))
-    na = norms.select(F.col("_e").alias("a"), F.col("_norm").alias("na"))
-    nb = norms.select(F.col("_e").alias("b"), F.col("_norm").alias("nb"))
+    dots = blocked_join(a, b, "_k", "b").groupBy("a", "b").agg(F.sum(F.col("xa") * F.col("xb")).alias("_dot"))
     den = F.col("na") * F.col("nb")
-    half = dots.join(na, "a").join(nb, "b") \
+    return dots.join(norms.select(F.col("_e").alias("a"), F.col("_norm").alias("na")), "a") \
+        .join(norms.select(F.col("_e").alias("b"), F.col("_norm").alias("nb")), "b") \
         .select("a", "b", F.when(den > 0, F.col("_dot") / den).otherwise(F.lit(0.0)).alias("sim"))
-    full = half.unionByName(half.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
-    if include_self:
-        selfs = norms.select(F.col("_e").alias("a"), F.col("_e").alias("b"),
-                             F.when(F.col("_norm") > 0, F.lit(1.0)).otherwise(F.lit(0.0)).alias("sim"))
-        full = full.unionByName(selfs)
-    return full
 
 
-def item_cosine(matrix: DataFrame, user: str = "user_id", item: str = "item_id", value: str = "r") -> DataFrame:
-    """Item-item cosine over user columns (self pairs = 1)."""
-    return cosine_pairs(matrix, user, item, value, include_self=True)
+def item_cosine(asked: DataFrame, matrix: DataFrame, user: str = "user_id", item: str = "item_id",
+                value: str = "r") -> DataFrame:
+    """Cosine of the asked items with the items that share a user."""
+    return cosine_of(asked, matrix, user, item, value)
 
 
-def user_cosine(matrix: DataFrame, user: str = "user_id", item: str = "item_id", value: str = "r") -> DataFrame:
-    """User-user cosine over item columns (self pairs = 1)."""
-    return cosine_pairs(matrix, item, user, value, include_self=True)
+def user_cosine(asked: DataFrame, matrix: DataFrame, user: str = "user_id", item: str = "item_id",
+                value: str = "r") -> DataFrame:
+    """Cosine of the asked users with the users that share an item."""
+    return cosine_of(asked, matrix, item, user, value)
 
 
 def top_k_per_key(pairs: DataFrame, k: int, key: str = "a", other: str = "b", score: str = "sim") -> DataFrame:
     """Top ``k`` partners per key by score desc, partner asc (window per key; a key's group is its partners)."""
-    from pyspark.sql import Window
-
     w = Window.partitionBy(key).orderBy(F.round(score, 9).desc(), F.col(other).asc())
     return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

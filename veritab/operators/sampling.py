@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veritab.operators.prefix import null_safe_join
 from veritab.operators.splits import class_counts, ranked_by_class
 
 
@@ -35,11 +36,11 @@ def random_oversample(df: DataFrame, label_col: str, key_cols: list[str], seed:
             F.lit(label).cast(df.schema[label_col].dataType).alias(label_col), "copy_id",
             F.lit(n_c).alias("_class_n"))
         copies = part if copies is None else copies.unionByName(part)
-    draw = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit("oversample"), F.col(label_col).cast("string"),
+    draw = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit("oversample"), F.coalesce(F.col(label_col).cast("string"), F.lit("")),
                              F.col("copy_id").cast("string")))
     copies = copies.withColumn("_rank", F.pmod(_hex_to_long(draw), F.col("_class_n"))) \
         .select(label_col, "_rank", "copy_id")
-    synthetic = copies.join(ranked, [label_col, "_rank"]).drop("_rank")
+    synthetic = null_safe_join(copies, ranked, [label_col, "_rank"]).drop("_rank")
     originals = ranked.drop("_rank").withColumn("copy_id", F.lit(0).cast("long"))
     return originals.unionByName(synthetic.select(*originals.columns))
 
@@ -56,7 +57,7 @@ def balanced_class_weights(df: DataFrame, label_col: str, weight_col: str = "cla
     total = spark_total.select("_t").scalar()
     k = spark_total.select("_k").scalar()
     weights = counts.withColumn(weight_col, total / (k * F.col("_class_n").cast("double"))).drop("_class_n")
-    return df.join(F.broadcast(weights), label_col)
+    return null_safe_join(df, weights, [label_col])
 
 
 def positive_weight(df: DataFrame, label_col: str, scale_pos_weight: float, weight_col: str = "class_weight"):

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritab.operators.prefix import hash_key, rank_within
+from veritab.operators.prefix import hash_key, null_safe_join, rank_within
 
 
 def class_counts(df: DataFrame, label_col: str) -> DataFrame:
@@ -28,12 +28,11 @@ def stratified_split(df: DataFrame, label_col: str, key_cols: list[str], test_si
                      digits: int = 3) -> DataFrame:
     """Per class, the first ``round(n_c * test_size)`` rows by hash are ``test``; column ``split``.
 
-    The class-count table has one row per label value (binary after the label
-    check), so it is broadcast by construction.
+    Rows without a label are a class of their own, so no row is lost.
     """
     ranked = ranked_by_class(df, label_col, key_cols, seed, digits)
     counts = class_counts(df, label_col).withColumn("_n_test", F.floor(F.col("_class_n") * test_size + 0.5))
-    out = ranked.join(F.broadcast(counts), label_col)
+    out = null_safe_join(ranked, counts, [label_col])
     out = out.withColumn("split", F.when(F.col("_rank") < F.col("_n_test"), F.lit("test")).otherwise(F.lit("train")))
     return out.drop("_h", "_rank", "_class_n", "_n_test")
 

@@ -32,6 +32,7 @@ def r6(x: str) -> str:
 # base CTEs, in dependency order
 CTES: dict[str, str] = {}
 CTES["interactions_raw"] = fx.SQL_INTERACTIONS
+CTES["interactions_variants"] = fx.SQL_INTERACTIONS_WITH_VARIANTS
 CTES["typed"] = f"""
 SELECT user_id, item_id, {clip('CAST(rating AS DOUBLE)')} AS rating_c, lower(interaction_type) AS interaction_type,
        "timestamp", {ORDER}
@@ -53,8 +54,11 @@ FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY "timestamp" DES
              {", ".join(c + " DESC" for c in fx.INTERACTION_ORDER_COLS)}) AS rn_desc,
              count(*) OVER (PARTITION BY user_id) AS n_user
       FROM prepared)"""
+CTES["requests"] = """
+SELECT DISTINCT o_custkey + 1 AS user_id FROM orders WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders) - INTERVAL 7 DAY"""
 CTES["train"] = "SELECT * FROM split WHERE split = 'train'"
 CTES["test"] = "SELECT * FROM split WHERE split = 'test'"
+CTES["asked_items"] = "SELECT DISTINCT item_id FROM test WHERE user_id IN (SELECT user_id FROM requests)"
 CTES["items_raw"] = fx.SQL_ITEMS
 CTES["catalog"] = """
 SELECT item_id, title, genres, category, catalog_order,
@@ -76,7 +80,7 @@ FROM score_counts WINDOW w AS (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECED
 CTES["pr_points"] = """
 SELECT score AS threshold, tps / (tps + fps) AS precision, tps / P AS recall, pos,
        2 * (tps / (tps + fps)) * (tps / P) / greatest(tps / (tps + fps) + tps / P, 1e-12) AS f1
-FROM score_cum WHERE tps - pos < P"""
+FROM score_cum"""
 
 
 def needed(sql: str) -> list[str]:
@@ -178,25 +182,26 @@ CTES["pop_ranked"] = """
 SELECT *, row_number() OVER (ORDER BY round(avg_signal, 9) DESC, interaction_count DESC, item_id) AS pos FROM popularity"""
 
 
-def hybrid_scores_sql(grid: list[tuple[float, float, float]]) -> str:
-    """Dense scores of every known user x catalog item x weight vector, seen items removed."""
+def hybrid_scores_sql(grid: list[tuple[float, float, float]], asked: str | None = None) -> str:
+    """Dense scores of every known user (of the CTE ``asked``) x catalog item x weight vector, seen items removed."""
+    who = f"(SELECT * FROM kusers WHERE user_id IN (SELECT user_id FROM {asked}))" if asked else "kusers"
     rows = ", ".join(f"({g}, CAST({a} AS DOUBLE), CAST({b} AS DOUBLE), CAST({c} AS DOUBLE))"
                      for g, (a, b, c) in enumerate(grid))
     return f"""
 SELECT g.grid, u.user_id, c.item_id,
        g.wc * coalesce(cf.cf, 0.0) + g.wb * CASE WHEN u.has_profile THEN 1.0 + 4.0 * coalesce(d.dot, 0.0) ELSE 0.0 END
        + g.wp * c.pop_i AS score
-FROM kusers u CROSS JOIN cat c CROSS JOIN (VALUES {rows}) g(grid, wc, wb, wp)
+FROM {who} u CROSS JOIN cat c CROSS JOIN (VALUES {rows}) g(grid, wc, wb, wp)
 LEFT JOIN cf ON cf.user_id = u.user_id AND cf.item_id = c.item_id
 LEFT JOIN dots d ON d.user_id = u.user_id AND d.item_id = c.item_id
 WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.user_id = u.user_id AND s.item_id = c.item_id)"""
 
 
-def hybrid_top_sql(grid, n: int) -> str:
+def hybrid_top_sql(grid, n: int, asked: str | None = None) -> str:
     return f"""
 SELECT grid, user_id, rank, item_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY grid, user_id ORDER BY round(score, 9) DESC, item_id) AS rank
-  FROM ({hybrid_scores_sql(grid)})) WHERE rank <= {n}"""
+  FROM ({hybrid_scores_sql(grid, asked)})) WHERE rank <= {n}"""
 
 
 def predict_sql(pairs: str, w: tuple[float, float, float]) -> str:

@@ -14,14 +14,20 @@ from veritab.operators.recsys import similarity as sim
 from veritab.operators.recsys.signals import probability_like
 from veritab.plans import oracle_sql as osql
 from veritab.plans.oracle_sql import r6, with_ctes
-from veritab.plans.registry import (REC_COLS, catalog, hybrid_parts, register, rounded, test_interactions,
-                                    train_interactions)
+from veritab.plans.registry import (REC_COLS, catalog, hybrid_parts, register, requested_items, requested_users, rounded,
+                                    test_interactions, train_interactions)
 from veritab.sources import fixtures as fx
 
 U, I = "user_id", "item_id"
 DEFAULT_W = (0.55, 0.30, 0.15)
 
 
+SQL_REQ = """SELECT user_id, effective_top_n FROM (
+  SELECT user_id, greatest(1, least(CAST(coalesce(top_n, 10) AS INTEGER), 50)) AS effective_top_n,
+         coalesce(user_id BETWEEN 1 AND 10000000000 AND CAST(coalesce(top_n, 10) AS INTEGER) BETWEEN 1 AND 50, false) AS ok
+  FROM (SELECT c_custkey * 7 % 2000 + 1 AS user_id, CAST(c_custkey % 13 + 1 AS INTEGER) AS top_n FROM customer)) WHERE ok"""
+
+
 def _matrix(spark, sf_dir):
     return rm.user_item_matrix(train_interactions(spark, sf_dir), REC_COLS)
 
@@ -30,39 +36,39 @@ def _parts(spark, sf_dir):
     return hybrid_parts(spark, sf_dir)
 
 
-@register("r04_item_cosine", with_ctes(f"SELECT a, b, {r6('sim')} AS sim FROM isim WHERE a <= b"))
+@register("r04_item_cosine", with_ctes(f"SELECT a, b, {r6('sim')} AS sim FROM isim WHERE a IN (SELECT item_id FROM asked_items)"))
 def r04_item_cosine(spark, sf_dir):
-    return rounded(sim.item_cosine(_matrix(spark, sf_dir)).where(F.col("a") <= F.col("b")))
+    return rounded(sim.item_cosine(requested_items(spark, sf_dir), _matrix(spark, sf_dir)))
 
 
-@register("r05_user_cosine", with_ctes(f"SELECT a, b, {r6('sim')} AS sim FROM usim WHERE a <= b"))
+@register("r05_user_cosine", with_ctes(f"SELECT a, b, {r6('sim')} AS sim FROM usim WHERE a IN (SELECT user_id FROM requests)"))
 def r05_user_cosine(spark, sf_dir):
-    return rounded(sim.user_cosine(_matrix(spark, sf_dir)).where(F.col("a") <= F.col("b")))
+    return rounded(sim.user_cosine(requested_users(spark, sf_dir), _matrix(spark, sf_dir)))
 
 
-@register("r06_item_based_scores", with_ctes(f"SELECT user_id, item_id, {r6('item_score')} AS item_score FROM ib"))
+@register("r06_item_based_scores", with_ctes(f"SELECT user_id, item_id, {r6('item_score')} AS item_score FROM ib WHERE user_id IN (SELECT user_id FROM requests)"))
 def r06_item_based_scores(spark, sf_dir):
     m = _matrix(spark, sf_dir)
-    return rounded(cfm.item_based_scores(m, sim.item_cosine(m)))
+    return rounded(cfm.item_based_scores(requested_users(spark, sf_dir), m))
 
 
 @register("r07_neighbours", with_ctes(f"""
-SELECT user_id, v, {r6('sim')} AS sim FROM nbrs"""))
+SELECT user_id, v, {r6('sim')} AS sim FROM nbrs WHERE user_id IN (SELECT user_id FROM requests)"""))
 def r07_neighbours(spark, sf_dir):
     m = _matrix(spark, sf_dir)
-    return rounded(cfm.neighbours(sim.user_cosine(m), 20))
+    return rounded(cfm.neighbours(sim.user_cosine(requested_users(spark, sf_dir), m), 20))
 
 
-@register("r07_user_based_scores", with_ctes(f"SELECT user_id, item_id, {r6('user_score')} AS user_score FROM ub"))
+@register("r07_user_based_scores", with_ctes(f"SELECT user_id, item_id, {r6('user_score')} AS user_score FROM ub WHERE user_id IN (SELECT user_id FROM requests)"))
 def r07_user_based_scores(spark, sf_dir):
     m = _matrix(spark, sf_dir)
-    return rounded(cfm.user_based_scores(m, cfm.neighbours(sim.user_cosine(m), 20)))
+    return rounded(cfm.user_based_scores(m, cfm.neighbours(sim.user_cosine(requested_users(spark, sf_dir), m), 20)))
 
 
-@register("r08_cf_scores", with_ctes(f"SELECT user_id, item_id, {r6('cf')} AS cf FROM cf"))
+@register("r08_cf_scores", with_ctes(f"SELECT user_id, item_id, {r6('cf')} AS cf FROM cf WHERE user_id IN (SELECT user_id FROM requests)"))
 def r08_cf_scores(spark, sf_dir):
     m = _matrix(spark, sf_dir)
-    return rounded(cfm.cf_scores(m, sim.item_cosine(m), sim.user_cosine(m)))
+    return rounded(cfm.cf_scores(requested_users(spark, sf_dir), m))
 
 
 @register("r09_cf_predict", with_ctes(f"""
@@ -70,23 +76,24 @@ SELECT t.user_id, t.item_id, {r6(f"CASE WHEN coalesce(cf.cf, 0.0) > 0 THEN {osql
 FROM test t LEFT JOIN cf ON cf.user_id = t.user_id AND cf.item_id = t.item_id
 LEFT JOIN popularity p ON p.item_id = t.item_id"""))
 def r09_cf_predict(spark, sf_dir):
-    m = _matrix(spark, sf_dir)
-    cf = cfm.cf_scores(m, sim.item_cosine(m), sim.user_cosine(m))
-    pop = rm.popularity(train_interactions(spark, sf_dir), REC_COLS)
     pairs = test_interactions(spark, sf_dir).select(U, I)
-    return rounded(cfm.cf_predict(pairs, cf, pop).select(U, I, "prediction"))
+    return rounded(hy.cf_predict_pairs(_parts(spark, sf_dir), pairs).select(U, I, "prediction"))
 
 
 @register("r10_cf_recommend", with_ctes(f"""
+WITH req AS ({SQL_REQ})
 SELECT user_id, rank, item_id, {r6(osql.clip('score'))} AS score FROM (
   SELECT u.user_id, i.item_id, coalesce(cf.cf, 0.0) AS score,
          row_number() OVER (PARTITION BY u.user_id ORDER BY round(coalesce(cf.cf, 0.0), 9) DESC, i.item_id) AS rank
-  FROM (SELECT DISTINCT user_id FROM train) u CROSS JOIN (SELECT DISTINCT item_id FROM train) i
+  FROM (SELECT DISTINCT user_id FROM train WHERE user_id IN (SELECT user_id FROM req)) u CROSS JOIN (SELECT DISTINCT item_id FROM train) i
   LEFT JOIN cf ON cf.user_id = u.user_id AND cf.item_id = i.item_id
   WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.user_id = u.user_id AND s.item_id = i.item_id))
-WHERE rank <= 10"""))
+WHERE rank <= 10
+UNION ALL
+SELECT q.user_id, p.pos, p.item_id, {r6('p.avg_signal')} FROM (SELECT DISTINCT user_id FROM req) q JOIN pop_ranked p ON p.pos <= 10
+WHERE q.user_id NOT IN (SELECT user_id FROM kusers)"""))
 def r10_cf_recommend(spark, sf_dir):
-    return rounded(hy.cf_top_n(_parts(spark, sf_dir), 10))
+    return rounded(hy.cf_top_n(_parts(spark, sf_dir), _requests(spark, sf_dir), 10))
 
 
 @register("r11_tfidf", with_ctes(f"SELECT item_id, term, {r6('weight')} AS weight FROM vec"))
@@ -116,11 +123,11 @@ def r11_tfidf_documents(spark, sf_dir):
 SELECT a, b, {r6('sim')} AS sim, rank FROM (
   SELECT a, b, sim, row_number() OVER (PARTITION BY a ORDER BY round(sim, 9) DESC, b) AS rank FROM (
     SELECT x.item_id AS a, y.item_id AS b, sum(x.weight * y.weight) AS sim FROM vec x JOIN vec y ON x.term = y.term
-    WHERE x.item_id <> y.item_id GROUP BY x.item_id, y.item_id))
+    WHERE x.item_id <> y.item_id AND x.item_id IN (SELECT item_id FROM asked_items) GROUP BY x.item_id, y.item_id))
 WHERE rank <= 10"""))
 def r12_content_similarity_top10(spark, sf_dir):
     vec = cb.tfidf(catalog(spark, sf_dir).select(I, "content_text"))
-    pairs = cb.content_similarity(vec)
+    pairs = cb.content_similarity(requested_items(spark, sf_dir), vec)
     return rounded(sim.top_k_per_key(pairs, 10).select("a", "b", "sim", "rank"))
 
 
@@ -131,10 +138,10 @@ def r13_user_profiles(spark, sf_dir):
 
 
 @register("r14_content_scores", with_ctes(f"""
-SELECT user_id, item_id, {r6('1.0 + 4.0 * dot')} AS content_score FROM dots"""))
+SELECT user_id, item_id, {r6('1.0 + 4.0 * dot')} AS content_score FROM dots WHERE user_id IN (SELECT user_id FROM requests)"""))
 def r14_content_scores(spark, sf_dir):
     vec = cb.tfidf(catalog(spark, sf_dir).select(I, "content_text"))
-    prof = cb.user_profiles(train_interactions(spark, sf_dir), vec)
+    prof = cb.user_profiles(train_interactions(spark, sf_dir), vec).join(requested_users(spark, sf_dir), U, "left_semi")
     return rounded(cb.content_scores(cb.profile_dots(prof, vec)).select(U, I, "content_score"))
 
 
@@ -153,10 +160,10 @@ def r15_content_predict(spark, sf_dir):
 
 
 @register("r19_hybrid_top10", with_ctes(f"""
-SELECT user_id, rank, item_id, {r6('score')} AS score FROM ({osql.hybrid_top_sql([DEFAULT_W], 10)})"""))
+SELECT user_id, rank, item_id, {r6('score')} AS score FROM ({osql.hybrid_top_sql([DEFAULT_W], 10, 'requests')})"""))
 def r19_hybrid_top10(spark, sf_dir):
     parts = _parts(spark, sf_dir)
-    return rounded(hy.top_n(parts, [DEFAULT_W], 10).drop("grid"))
+    return rounded(hy.top_n(parts, [DEFAULT_W], 10, requested_users(spark, sf_dir)).drop("grid"))
 
 
 @register("r18_hybrid_predict", with_ctes(f"""
@@ -211,7 +218,9 @@ def _presets_values() -> str:
 WITH e AS ({_eval_sql([(a, b, c) for _, a, b, c in re_.PRESETS], floor_recall=True)}),
 w AS (SELECT * FROM (VALUES {_presets_values()}) v(grid, strategy, cf_weight, cb_weight, popularity_weight))
 SELECT e.grid, w.strategy, {r6('precision_at_k')} AS precision_at_k, {r6('recall_at_k')} AS recall_at_k,
-       {r6('r.rmse')} AS rmse, w.cf_weight, w.cb_weight, w.popularity_weight
+       {r6('r.rmse')} AS rmse, w.cf_weight, w.cb_weight, w.popularity_weight,
+       row_number() OVER (ORDER BY round(precision_at_k, 12) DESC, e.grid)::INT AS place,
+       row_number() OVER (ORDER BY round(precision_at_k, 12) DESC, e.grid) = 1 AS is_best
 FROM e JOIN w ON w.grid = e.grid JOIN (
   {" UNION ALL ".join(f"SELECT {g} AS grid, coalesce(sqrt(avg((signal - prediction) * (signal - prediction))), 0.0) AS rmse FROM ({osql.predict_sql('SELECT user_id, item_id, signal FROM test', (a, b, c))})" for g, (_, a, b, c) in enumerate(re_.PRESETS))}
 ) r ON r.grid = e.grid"""))
@@ -245,21 +254,17 @@ def r26_binary_relevance_auc(spark, sf_dir):
 @register("r27_scored_recommendations", with_ctes(f"""
 SELECT user_id, rank, item_id, {r6('round(prediction, 4)')} AS predicted_signal,
        {r6(f"round({osql.clip('prediction / 5.0', '0.0', '1.0')}, 4)")} AS probability_like
-FROM ({osql.predict_sql(f'SELECT user_id, item_id, rank FROM ({osql.hybrid_top_sql([DEFAULT_W], 5)})', DEFAULT_W)})"""))
+FROM (SELECT t.*, CASE WHEN score > 0 THEN {osql.clip('score')}
+             ELSE coalesce({osql.clip('p.avg_signal')}, {osql.clip('(SELECT mavg FROM meanavg)')}, 3.0) END AS prediction
+      FROM ({osql.hybrid_top_sql([DEFAULT_W], 5, 'requests')}) t LEFT JOIN popularity p ON p.item_id = t.item_id)"""))
 def r27_scored_recommendations(spark, sf_dir):
     parts = _parts(spark, sf_dir)
-    recs = hy.top_n(parts, [DEFAULT_W], 5).drop("grid")
-    pred = hy.predict(parts, recs.select(U, I, "rank"), DEFAULT_W)
+    recs = hy.top_n(parts, [DEFAULT_W], 5, requested_users(spark, sf_dir)).drop("grid")
+    pred = hy.ranked_predictions(parts, recs)
     return rounded(pred.select(U, "rank", I, F.round("prediction", 4).alias("predicted_signal"),
                                probability_like(F.col("prediction")).alias("probability_like")))
 
 
-SQL_REQ = """SELECT user_id, effective_top_n FROM (
-  SELECT user_id, greatest(1, least(CAST(coalesce(top_n, 10) AS INTEGER), 50)) AS effective_top_n,
-         coalesce(user_id BETWEEN 1 AND 10000000000 AND CAST(coalesce(top_n, 10) AS INTEGER) BETWEEN 1 AND 50, false) AS ok
-  FROM (SELECT c_custkey * 7 % 2000 + 1 AS user_id, CAST(c_custkey % 13 + 1 AS INTEGER) AS top_n FROM customer)) WHERE ok"""
-
-
 def _requests(spark, sf_dir):
     c = fx.table(spark, sf_dir, "customer")
     req = c.select((F.col("c_custkey") * 7 % 2000 + 1).alias("user_id"), (F.col("c_custkey") % 13 + 1).cast("int")
@@ -269,7 +274,7 @@ def _requests(spark, sf_dir):
 
 @register("r29_recommend_requests", with_ctes(f"""
 WITH req AS ({SQL_REQ}),
-recs AS ({osql.hybrid_top_sql([DEFAULT_W], 50)})
+recs AS ({osql.hybrid_top_sql([DEFAULT_W], 50, 'req')})
 SELECT q.user_id, r.rank, r.item_id, {r6('r.score')} AS score FROM req q JOIN recs r ON r.user_id = q.user_id
 WHERE r.rank <= q.effective_top_n
 UNION ALL

@@ -9,7 +9,8 @@ from veritab.functions import features as ft
 from veritab.operators import dedup, profile, quality, splits
 from veritab.operators.recsys import signals as rs
 from veritab.plans.oracle_sql import r6, with_ctes
-from veritab.plans.registry import REC_COLS, catalog, prepared_interactions, register, rounded, train_interactions
+from veritab.plans.registry import (REC_COLS, catalog, prepared_interactions, register, requested_items, rounded,
+                                    train_interactions)
 from veritab.operators.recsys import matrix as rm
 from veritab.sources import fixtures as fx
 
@@ -53,9 +54,9 @@ def fx_required():
 
 @register("q08_unknown_items", with_ctes("""
 SELECT 'unknown_item_id' AS check_name, CAST(count(DISTINCT item_id) AS BIGINT) AS bad_rows, 'warn' AS severity
-FROM interactions_raw WHERE item_id IS NOT NULL AND item_id NOT IN (SELECT item_id FROM items_raw)"""))
+FROM interactions_variants WHERE item_id IS NOT NULL AND item_id NOT IN (SELECT item_id FROM items_raw)"""))
 def q08_unknown_items(spark, sf_dir):
-    return quality.unknown_references(fx.interactions(spark, sf_dir), fx.items(spark, sf_dir), "item_id")
+    return quality.unknown_references(fx.interactions_with_variants(spark, sf_dir), fx.items(spark, sf_dir), "item_id")
 
 
 def _rules_sql() -> str:
@@ -391,14 +392,14 @@ WITH m AS (SELECT user_id, item_id, avg(signal) AS r FROM train GROUP BY user_id
 nu AS (SELECT CAST(count(DISTINCT user_id) AS DOUBLE) AS n FROM m),
 s AS (SELECT item_id, sum(r) AS sx, sum(r * r) AS sxx FROM m GROUP BY item_id),
 p AS (SELECT a.item_id AS a, b.item_id AS b, sum(a.r * b.r) AS sxy FROM m a JOIN m b ON a.user_id = b.user_id
-      AND a.item_id < b.item_id GROUP BY 1, 2)
+      AND a.item_id <> b.item_id WHERE a.item_id IN (SELECT item_id FROM asked_items) GROUP BY 1, 2)
 SELECT p.a, p.b, {r6('CASE WHEN den > 0 THEN num / den END')} AS corr FROM (
   SELECT p.a, p.b, n * sxy - sa.sx * sb.sx AS num,
          sqrt((n * sa.sxx - sa.sx * sa.sx) * (n * sb.sxx - sb.sx * sb.sx)) AS den
   FROM p JOIN s sa ON p.a = sa.item_id JOIN s sb ON p.b = sb.item_id, nu) p"""))
 def x11_item_pearson(spark, sf_dir):
     m = rm.user_item_matrix(train_interactions(spark, sf_dir), REC_COLS)
-    return rounded(profile.item_pearson(m))
+    return rounded(profile.item_pearson(requested_items(spark, sf_dir), m))
 
 
 @register("x12_catalog_coverage", with_ctes(f"""

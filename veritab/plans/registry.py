@@ -51,10 +51,15 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 # ------------------------------------------------------------------ shared Spark fixtures
 # Fitted inputs are materialised once per (application, data folder): the interaction split,
-# the catalog and the fitted recommender parts. Later queries start from those files.
+# the catalog and the fitted recommender parts. Later queries start from those files;
+# ``forget`` drops them, for data that changes under its path and for timing a query with its fit.
 _MEMO: dict[tuple, object] = {}
 
 
+def forget() -> None:
+    _MEMO.clear()
+
+
 def _memo(spark, sf_dir, name, build):
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _MEMO:
@@ -81,6 +86,19 @@ def test_interactions(spark, sf_dir):
     return split_interactions(spark, sf_dir).where(F.col("split") == "test")
 
 
+def requested_users(spark, sf_dir):
+    """The request table of the recommender queries: users with an order in the last seven days of the data."""
+    o = fx.table(spark, sf_dir, "orders")
+    last = o.select(F.max("o_orderdate")).scalar()
+    return o.where(F.col("o_orderdate") > last - F.expr("INTERVAL 7 DAYS")).select(
+        (F.col("o_custkey") + 1).alias("user_id")).distinct()
+
+
+def requested_items(spark, sf_dir):
+    """What the requesting users turned to last."""
+    return test_interactions(spark, sf_dir).join(requested_users(spark, sf_dir), "user_id", "left_semi").select("item_id").distinct()
+
+
 def catalog(spark, sf_dir):
     from veritab.session import materialize
 

@@ -2,15 +2,12 @@
 
 The defaults here are the ones a cluster job wants: adaptive execution with
 skew-join splitting and partition coalescing, UTC session time, no web UI.
-Nothing is forced: settings already present in the session (for example a
-cluster's ``spark.checkpoint.dir`` or ``spark.sql.shuffle.partitions``) win.
+Settings of a running session (for example a cluster's ``spark.checkpoint.dir``
+or its broadcast limit) win; they are only filled in where they are unset.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULTS = {
@@ -32,8 +29,10 @@ def get_spark(app: str = "veritab", master: str | None = None, shuffle_partition
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    active = SparkSession.getActiveSession()
     for k, v in _DEFAULTS.items():
-        builder = builder.config(k, v)
+        if active is None or active.conf.get(k, None) is None:
+            builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
@@ -45,28 +44,20 @@ def get_spark(app: str = "veritab", master: str | None = None, shuffle_partition
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only a local session may get its own."""
+    """The session's ``spark.checkpoint.dir``; a session without one uses its warehouse folder, never a temporary one."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared (HDFS/object store) folder for cluster runs")
-    path = tempfile.mkdtemp(prefix="veritab-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(path)
+    if not sc.getCheckpointDir():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        sc.setCheckpointDir(folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged")
     return sc.getCheckpointDir()
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+def materialize_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` as parquet under the shared checkpoint folder; the table read back and its folder.
 
     Used at fit boundaries: downstream plans start from a compact scan instead
     of re-planning (and re-running) the whole lineage, and the files survive
-    the loss of any executor.
+    the loss of any executor. They are deleted when the application ends.
     """
     import uuid
 
@@ -74,10 +65,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/veritab/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``materialize_at`` without the folder."""
+    return materialize_at(df, name)[0]

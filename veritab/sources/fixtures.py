@@ -21,7 +21,8 @@ PAYMENT_METHODS = ["Electronic check", "Mailed check", "Bank transfer", "Credit
 INTERNET_SERVICES = ["DSL", "Fiber optic", "No"]
 SERVICE_COLUMNS = ["OnlineSecurity", "OnlineBackup", "DeviceProtection", "TechSupport", "StreamingTV", "StreamingMovies"]
 CHURN_CUTOFF = "2000-08-01"
-UNKNOWN_ITEM_MODULUS = 97
+# interactions of line number 6 name a variant of their item that the catalog lacks (q08 only)
+VARIANT_LINE = 6
 # file-order tie-break columns of A1 (l_orderkey, l_linenumber) is not unique
 INTERACTION_ORDER_COLS = ("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice",
                           "l_discount", "l_tax")
@@ -79,10 +80,21 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 """
 
 
+def interactions_with_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The interactions, some of them with items that the catalog does not know."""
+    named = F.when(F.col("l_linenumber") == VARIANT_LINE, F.concat("item_id", F.lit("-v"))).otherwise(F.col("item_id"))
+    return interactions(spark, sf_dir).withColumn("item_id", named)
+
+
+SQL_INTERACTIONS_WITH_VARIANTS = f"""
+SELECT * REPLACE (CASE WHEN l_linenumber = {VARIANT_LINE} THEN item_id || '-v' ELSE item_id END AS item_id)
+FROM interactions_raw"""
+
+
 # ---------------------------------------------------------------- A2 items
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
-    return p.where(F.col("p_partkey") % UNKNOWN_ITEM_MODULUS != 0).select(
+    return p.select(
         F.concat(F.lit("i"), F.col("p_partkey").cast("string")).alias("item_id"),
         F.col("p_name").alias("title"),
         F.concat(F.col("p_type"), F.lit("|"), F.col("p_brand")).alias("genres"),
@@ -91,10 +103,10 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-SQL_ITEMS = f"""
+SQL_ITEMS = """
 SELECT 'i' || CAST(p_partkey AS VARCHAR) AS item_id, p_name AS title, p_type || '|' || p_brand AS genres,
        p_type AS category, p_partkey AS catalog_order
-FROM part WHERE p_partkey % {UNKNOWN_ITEM_MODULUS} <> 0
+FROM part
 """
 
 
@@ -177,7 +189,8 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(F.when(before, F.col("o_totalprice"))).alias("total"),
         F.count_if(~before).alias("n_after"),
     )
-    j = c.join(agg, c.c_custkey == agg.o_custkey)
+    # a customer without orders has no tenure, no total and no later order
+    j = c.join(agg, c.c_custkey == agg.o_custkey, "left").withColumn("n_after", F.coalesce("n_after", F.lit(0)))
     tenure = F.coalesce(F.floor(F.datediff(cutoff, F.col("first_order")) / 30), F.lit(0)).cast("int")
     internet = _pick(INTERNET_SERVICES, F.col("c_custkey") % 3)
     services = [
@@ -227,8 +240,8 @@ SELECT 'C' || CAST(c_custkey AS VARCHAR) AS customerID,
        CASE WHEN c_custkey % 2 = 0 THEN 'Yes' ELSE 'No' END AS Partner,
        CASE WHEN c_custkey % 5 = 0 THEN 'Yes' ELSE 'No' END AS Dependents,
        CASE WHEN c_custkey % 3 <> 1 THEN 'Yes' ELSE 'No' END AS PaperlessBilling,
-       CASE WHEN n_after = 0 THEN 'Yes' ELSE 'No' END AS Churn
-FROM customer JOIN (
+       CASE WHEN coalesce(n_after, 0) = 0 THEN 'Yes' ELSE 'No' END AS Churn
+FROM customer LEFT JOIN (
     SELECT o_custkey,
            min(CASE WHEN o_orderdate < TIMESTAMP '{CHURN_CUTOFF}' THEN o_orderdate END) AS first_order,
            sum(CASE WHEN o_orderdate < TIMESTAMP '{CHURN_CUTOFF}' THEN o_totalprice END) AS total,
@@ -256,32 +269,3 @@ SELECT transaction_id, label,
        AS score
 FROM transactions
 """
-
-
-# ---------------------------------------------------------------- A5 other
-def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
-
-
-SQL_LABELLED_DOCUMENTS = "SELECT * FROM documents JOIN labels USING (doc_id)"
-
-
-def imbalanced_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Binary task over ``embeddings``: class 0 kept 1 row in 4 (minority) against all other classes."""
-    e = table(spark, sf_dir, "embeddings")
-    return e.where((F.col("label") != 0) | (F.col("vec_id") % 4 == 0)).select(
-        "vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("features"),
-        (F.col("label") == 0).cast("int").alias("label"))
-
-
-SQL_IMBALANCED_EMBEDDINGS = """
-SELECT vec_id, CAST(embedding AS DOUBLE[]) AS features, CAST(label = 0 AS INTEGER) AS label
-FROM embeddings WHERE label <> 0 OR vec_id % 4 = 0
-"""
-
-
-def sql_with(body: str, **ctes: str) -> str:
-    """Prefix a query with adapter CTEs (oracle helper)."""
-    if not ctes:
-        return body
-    return "WITH " + ",\n".join(f"{name} AS ({sql})" for name, sql in ctes.items()) + "\n" + body

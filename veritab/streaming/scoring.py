@@ -3,8 +3,9 @@
 The stream functions reuse the batch functions unchanged (record rules,
 feature columns, the fitted preprocessing + model), so a micro-batch is
 scored exactly as the same rows would be in batch. Sinks go through
-``foreachBatch`` with a checkpoint under the shared checkpoint folder, which
-gives restartable, exactly-once file output.
+``foreachBatch`` with a checkpoint under the shared checkpoint folder; each
+batch overwrites its own ``batch_id=`` folder, so a batch that is replayed
+after a failure replaces its rows instead of adding them again.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from veritab.functions import features as ft
 from veritab.operators import quality
+from veritab.operators.dedup import keep_first
 from veritab.session import ensure_checkpoint_dir
 
 
@@ -49,9 +51,13 @@ def run_scoring(stream: DataFrame, fitted, out_dir: str | None = None, threshold
     thr = fitted.threshold if threshold is None else threshold
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        checked = quality.validate_records(batch)
-        checked.where(~F.col("is_valid")).write.mode("append").parquet(f"{out_dir}/quarantine")
-        score_transactions(batch, fitted, thr).write.mode("append").parquet(f"{out_dir}/valid")
+        kept = batch.persist()
+        try:
+            checked = quality.validate_records(kept)
+            checked.where(~F.col("is_valid")).write.mode("overwrite").parquet(f"{out_dir}/quarantine/batch_id={batch_id}")
+            score_transactions(kept, fitted, thr).write.mode("overwrite").parquet(f"{out_dir}/valid/batch_id={batch_id}")
+        finally:
+            kept.unpersist()
 
     q = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", f"{out_dir}/_checkpoint") \
         .trigger(availableNow=True).start()
@@ -59,12 +65,40 @@ def run_scoring(stream: DataFrame, fitted, out_dir: str | None = None, threshold
     return out_dir
 
 
-def dedup_stream(stream: DataFrame, id_col: str = "transaction_id", time_col: str = "transaction_time",
-                 delay: str = "1 hour") -> DataFrame:
-    """Drop repeated ids within the watermark delay; state is bounded by the watermark."""
-    # event time must be a session-zone TIMESTAMP for watermarks; zone-less input is read as UTC
-    with_time = stream.withColumn("_event_time", F.col(time_col).cast("timestamp"))
-    return with_time.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark([id_col]).drop("_event_time")
+#: the sink of ``run_dedup`` is cut into so many parts by a hash of the id
+ID_PARTS = 16
+
+
+def run_dedup(stream: DataFrame, id_col: str = "transaction_id", out_dir: str | None = None) -> DataFrame:
+    """Run to completion, keeping one row of each id whatever the order and the lateness of the feed.
+
+    Every micro-batch is deduplicated in itself and against the ids that earlier
+    batches have written (an anti-join with the sink's id column, which is the
+    only state, lies on disk and is partitioned by a hash of the id). Nothing is
+    late. A replayed batch reads only batches other than itself and overwrites
+    its own rows.
+    """
+    spark = stream.sparkSession
+    out_dir = out_dir or _work_dir(spark, "dedup")
+    schema = stream.schema
+
+    def sink() -> DataFrame:
+        return spark.read.schema(f"{id_col} {schema[id_col].dataType.simpleString()}, batch_id long, id_part int").option(
+            "basePath", f"{out_dir}/data").parquet(f"{out_dir}/data")
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        part = F.pmod(F.xxhash64(id_col), F.lit(ID_PARTS)).cast("int")
+        rows = keep_first(batch, [id_col]).withColumn("id_part", part)
+        if batch_id > 0:
+            known = sink().where(F.col("batch_id") < batch_id).select(F.col(id_col).alias("_known"), F.col("id_part").alias("_part"))
+            same = (F.col("id_part") == F.col("_part")) & F.col(id_col).eqNullSafe(F.col("_known"))
+            rows = rows.join(known, same, "left_anti")
+        rows.write.mode("overwrite").partitionBy("id_part").parquet(f"{out_dir}/data/batch_id={batch_id}")
+
+    q = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", f"{out_dir}/_checkpoint") \
+        .trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.schema(schema).parquet(f"{out_dir}/data/*/*")
 
 
 def run_to_table(stream: DataFrame, name: str) -> DataFrame:
@@ -77,8 +111,17 @@ def run_to_table(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{out}/data")
 
 
-def answer_requests(requests_stream: DataFrame, top_table: DataFrame, max_top_n: int = 50) -> DataFrame:
-    """Stream-static join of validated requests with a precomputed (user, rank, item, score) top-list."""
+def answer_requests(requests_stream: DataFrame, top_table: DataFrame, popular: DataFrame, max_top_n: int = 50) -> DataFrame:
+    """Stream-static join of validated requests with precomputed lists.
+
+    ``top_table`` holds (user, rank, item, score) of the known users, ``popular``
+    (rank, item, score) the list that users without one of their own get. Both
+    are joined as one array per user or for all, at most ``max_top_n`` long.
+    """
+    entry = F.struct("rank", "item_id", "score")
+    own = top_table.where(F.col("rank") <= max_top_n).groupBy("user_id").agg(F.array_sort(F.collect_list(entry)).alias("_own"))
+    everyone = popular.where(F.col("rank") <= max_top_n).agg(F.array_sort(F.collect_list(entry)).alias("_all"))
     req = quality.validate_requests(requests_stream, max_top_n).where("is_valid")
-    return req.join(top_table, "user_id").where(F.col("rank") <= F.col("effective_top_n")) \
-        .select("user_id", "rank", "item_id", "score")
+    lists = req.join(own, "user_id", "left").withColumn("_list", F.coalesce("_own", everyone.scalar()))
+    return lists.select("user_id", F.explode(F.slice("_list", F.lit(1), F.col("effective_top_n"))).alias("e")) \
+        .select("user_id", "e.rank", "e.item_id", "e.score")
