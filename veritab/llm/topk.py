@@ -50,27 +50,35 @@ def exact_scores(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 
 def best_in_block(query_ids, queries, row_ids, rows, k: int) -> pd.DataFrame:
-    """The k best rows of one block for each query of one block (all, if fewer)."""
-    out = []
+    """The k best rows of one block for each query of one block (all, if fewer).
+
+    Level by level, the rows of best bound are scored exactly, which gives each query a score that its k-th best
+    reaches at least; what cannot reach it is dropped, and so are rows that no query needs any more.
+    """
     qf, rf = queries.astype(float), rows.astype(float)
-    coarse = segment_statistics(qf, LEVELS[0]) @ segment_statistics(rf, LEVELS[0]).T
-    fine = [(segment_statistics(qf, n), segment_statistics(rf, n)) for n in LEVELS[1:]]
-    slack = 1e-9 * (1 + np.abs(coarse))
-    for i, q in enumerate(queries):
-        others = row_ids != query_ids[i]
-        bound = np.where(others, coarse[i] + slack[i], -np.inf)
-        n = min(k, int(others.sum()))
-        if not n:
-            continue
-        first = np.argpartition(-bound, n - 1)[:n]
-        floor = exact_scores(q[None], rows[first])[0].min()  # n rows reach this score, so smaller bounds are out
-        left = np.flatnonzero(bound >= floor)
-        for sq, sr in fine:
-            left = left[(sr[left] @ sq[i]) * (1 + 1e-9) + 1e-6 + slack[i][left] >= floor]
-        scores = exact_scores(q[None], rows[left])[0]
-        top = np.lexsort((row_ids[left], -scores))[:n]
-        out.append(pd.DataFrame({"query_id": query_ids[i], "vec_id": row_ids[left][top], "score": scores[top]}))
-    return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
+    slack = 1e-9 * (1 + np.sqrt((qf * qf).sum(1).max() * (rf * rf).sum(1).max()))
+    alive, left = row_ids[None, :] != query_ids[:, None], np.arange(len(rows))
+    floor = np.full(len(queries), -np.inf)
+    for segments in LEVELS:
+        bound = segment_statistics(qf, segments) @ segment_statistics(rf[left], segments).T
+        bound[~alive] = -np.inf
+        if len(left) >= k:
+            first = np.argpartition(-bound, k - 1, axis=1)[:, :k]
+            near = np.einsum("qd,qnd->qn", qf, rf[left[first]])
+            near[~np.take_along_axis(alive, first, 1)] = -np.inf
+            floor = np.maximum(floor, near.min(1))
+        alive &= bound + slack >= floor[:, None] - slack
+        needed = alive.any(0)
+        left, alive = left[needed], alive[:, needed]
+    scores = exact_scores(queries, rows[left])
+    out = {"query_id": [], "vec_id": [], "score": []}
+    for i, query in enumerate(query_ids):
+        own = np.flatnonzero(alive[i])
+        top = own[np.lexsort((row_ids[left[own]], -scores[i, own]))[:k]]
+        out["query_id"].append(np.full(len(top), query))
+        out["vec_id"].append(row_ids[left[top]])
+        out["score"].append(scores[i, top])
+    return pd.DataFrame({name: np.concatenate(parts).astype("int64") for name, parts in out.items()})
 
 
 def top_k(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id",
