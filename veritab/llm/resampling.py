@@ -98,7 +98,8 @@ def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, see
     text = F.col(text_col).cast("string")
     # rows without an id are dealt by their text; they match no label
     own = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("~"), F.xxhash64(text).cast("string")))
-    texts = docs.select(own.alias("_id"), text.alias("text")).join(marks, "_id", "left").select(
+    # always a shuffle join, whatever the number of labels: cost and disk then grow as the input does
+    texts = docs.select(own.alias("_id"), text.alias("text")).join(marks.hint("merge"), "_id", "left").select(
         "text", F.coalesce("_good", F.lit(False)).alias("is_target"))
     if share is None:
         good = marks.agg(F.avg(F.col("_good").cast("double"))).first()[0]
