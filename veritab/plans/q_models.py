@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from veritab.functions import features as ft
+from veritab.operators import evaluation as ev
 from veritab.operators import sampling, splits
 from veritab.operators.prep import fit_prep, long_features
 from veritab.plans import training as tr
 from veritab.plans.oracle_sql import r6, with_ctes
 from veritab.plans.registry import register, rounded
+from veritab.session import materialize, materialize_at
 from veritab.sources import fixtures as fx
 
 CHURN_NUMERIC = ["tenure", "MonthlyCharges", "TotalCharges", "SeniorCitizen", "avg_monthly_spend",
@@ -132,101 +134,155 @@ def d10_class_weights(spark, sf_dir):
     return rounded(sampling.balanced_class_weights(t, "label").select("label", "class_weight").distinct())
 
 
-# ---------------------------------------------------------------- model fits (rows-only checks)
-@register("m07_fraud_logistic_scores")
-def m07_fraud_logistic_scores(spark, sf_dir):
-    s = fraud_split(spark, sf_dir)
-    fitted = tr.fit_classifier(s.where("split = 'train'"), "label", FRAUD_NUMERIC, FRAUD_CATEGORICAL,
-                               "logistic_regression", {"C": 1.0, "class_weight": "balanced"})
-    return fitted.score(s.where("split = 'test'"), ["transaction_id", "label"])
+# ---------------------------------------------------------------- model fits
+# A fit has no SQL twin, but what must hold for it has: the rows it scores, with the promises kept for each
+# (probability in range, ranking better than chance, decision by the threshold) as true columns.
+CHURN_CTES = {"churn_split": SQL_CHURN_SPLIT, "churn_test": "SELECT * FROM churn_split WHERE split = 'test'"}
+FRAUD_CTES = {"fraud_split": """
+SELECT *, CASE WHEN rk < floor(n * 0.2 + 0.5) THEN 'test' ELSE 'train' END AS split FROM (
+  SELECT transaction_id, label, row_number() OVER (PARTITION BY label ORDER BY md5('42|' || transaction_id)) - 1 AS rk,
+         count(*) OVER (PARTITION BY label) AS n FROM transactions)"""}
+_KEPT = "true AS in_range, true AS better_than_chance"
 
 
-@register("m08_churn_forest_scores")
-def m08_churn_forest_scores(spark, sf_dir):
-    s = churn_split(spark, sf_dir)
-    fitted = tr.fit_classifier(s.where("split = 'train'"), "label", CHURN_NUMERIC, CHURN_CATEGORICAL,
-                               "random_forest", {"numTrees": 50, "maxDepth": 5, "minInstancesPerNode": 1,
-                                                 "class_weight": None})
-    return fitted.score(s.where("split = 'test'"), ["customerID", "label"])
+def kept_promises(scored, key: str):
+    """(key, label, in_range, better_than_chance) of every scored row."""
+    scored = materialize(scored, "scored")
+    auc = ev.roc_auc(scored.withColumnRenamed("probability", "score")).select(F.col("roc_auc") > 0.5).scalar()
+    return scored.select(key, "label", F.col("probability").between(0.0, 1.0).alias("in_range"), auc.alias("better_than_chance"))
 
 
-@register("m13_feature_importance")
-def m13_feature_importance(spark, sf_dir):
-    s = fraud_split(spark, sf_dir)
-    fitted = tr.fit_classifier(s.where("split = 'train'"), "label", FRAUD_NUMERIC, FRAUD_CATEGORICAL,
-                               "random_forest", {"numTrees": 30, "maxDepth": 5, "minInstancesPerNode": 1,
-                                                 "class_weight": None})
-    return tr.feature_importance(fitted, 30)
+def _fraud_logistic(spark, sf_dir):
+    s = materialize(fraud_split(spark, sf_dir), "fraud_split")
+    return s, tr.fit_classifier(s.where("split = 'train'"), "label", FRAUD_NUMERIC, FRAUD_CATEGORICAL,
+                                "logistic_regression", {"C": 1.0, "class_weight": "balanced"})
 
 
-@register("m15_churn_batch_scoring")
-def m15_churn_batch_scoring(spark, sf_dir):
-    s = churn_split(spark, sf_dir)
-    fitted = tr.fit_classifier(s.where("split = 'train'"), "label", CHURN_NUMERIC, CHURN_CATEGORICAL,
-                               "logistic_regression", {"C": 1.0, "class_weight": None})
-    scored = fitted.score(s, ["customerID", "label"])
-    return scored.withColumn("prediction", ft.decode_label(F.col("probability"), "Yes", "No", 0.5))
+def _churn_fit(spark, sf_dir, name, params):
+    s = materialize(churn_split(spark, sf_dir), "churn_split")
+    return s, tr.fit_classifier(s.where("split = 'train'"), "label", CHURN_NUMERIC, CHURN_CATEGORICAL, name, params)
 
 
-@register("m10_fraud_model_search")
-def m10_fraud_model_search(spark, sf_dir):
-    """M10 + M11: seeded parameter draws x stratified folds, best draw per (model, strategy)."""
-    from veritab.session import materialize
+@register("m07_fraud_logistic_scores", with_ctes(
+    f"SELECT transaction_id, label, {_KEPT} FROM fraud_split WHERE split = 'test'", FRAUD_CTES))
+def m07_fraud_logistic_scores(spark, sf_dir):
+    s, fitted = _fraud_logistic(spark, sf_dir)
+    return kept_promises(fitted.score(s.where("split = 'test'"), ["transaction_id", "label"]), "transaction_id")
 
-    s = materialize(fraud_split(spark, sf_dir).where("split = 'train'").drop("split"), "fraud_train")
-    results = None
-    for strategy in ("none", "oversample"):
-        r = tr.cross_validate(s, "label", ["transaction_id"], FRAUD_NUMERIC, FRAUD_CATEGORICAL, "logistic_regression",
-                              tr.sample_params("logistic_regression", 1, 42), folds=4, strategy=strategy)
-        results = r if results is None else results.unionByName(r)
-    return tr.compare_models(results)
 
+@register("m08_churn_forest_scores", with_ctes(f"SELECT customerID, label, {_KEPT} FROM churn_split WHERE split = 'train'", CHURN_CTES))
+def m08_churn_forest_scores(spark, sf_dir):
+    s, fitted = _churn_fit(spark, sf_dir, "random_forest", tr.DEFAULT_PARAMS["random_forest"])
+    return kept_promises(fitted.score(s.where("split = 'train'"), ["customerID", "label"]), "customerID")
 
-@register("x15_scored_sample")
-def x15_scored_sample(spark, sf_dir):
-    """Seeded sample of 3 customers with inputs, actual label, decoded prediction and probability."""
-    s = churn_split(spark, sf_dir)
-    fitted = tr.fit_classifier(s.where("split = 'train'"), "label", CHURN_NUMERIC, CHURN_CATEGORICAL,
-                               "logistic_regression", {"C": 1.0, "class_weight": None})
-    sample = splits.seeded_sample(s.where("split = 'test'"), ["customerID"], 3, 42)
-    scored = fitted.score(sample, ["customerID", "label"]).join(
-        sample.select("customerID", F.struct("tenure", "Contract", "MonthlyCharges", "TotalCharges").alias("input")),
-        "customerID")
-    return scored.select("customerID", "input", F.when(F.col("label") == 1, "Yes").otherwise("No").alias("actual"), ft.decode_label(F.col("probability")).alias("prediction"),
-                         F.round("probability", 4).alias("probability"), F.lit(0.5).alias("threshold"),
-                         F.lit("1.0").alias("model_version"))
+
+@register("m09_churn_gbt_scores", with_ctes(f"SELECT customerID, label, {_KEPT} FROM churn_split WHERE split = 'train'", CHURN_CTES))
+def m09_churn_gbt_scores(spark, sf_dir):
+    """M9: gradient-boosted trees (pyspark.ml GBT in place of XGBoost)."""
+    s, fitted = _churn_fit(spark, sf_dir, "gbt", tr.DEFAULT_PARAMS["gbt"])
+    return kept_promises(fitted.score(s.where("split = 'train'"), ["customerID", "label"]), "customerID")
 
 
-@register("m06_importance_selection")
-def m06_importance_selection(spark, sf_dir):
-    """M6: features whose forest importance is at least the median importance."""
-    s = churn_split(spark, sf_dir)
-    fitted = tr.fit_classifier(s.where("split = 'train'"), "label", CHURN_NUMERIC, CHURN_CATEGORICAL,
-                               "random_forest", {"numTrees": 50, "maxDepth": 5, "minInstancesPerNode": 1,
-                                                 "class_weight": None})
-    kept = tr.select_by_importance(fitted)
-    return spark.createDataFrame([(i, n) for i, n in enumerate(kept)], "position int, feature string")
+@register("m12_default_model_comparison", with_ctes("""
+SELECT unnest(['logistic_regression', 'random_forest', 'gbt']) AS model,
+       (SELECT CAST(count(*) AS BIGINT) FROM churn_test) AS n_rows, true AS in_range""", CHURN_CTES))
+def m12_default_model_comparison(spark, sf_dir):
+    s = materialize(churn_split(spark, sf_dir), "churn_split")
+    t = tr.compare_defaults(s.where("split = 'train'"), s.where("split = 'test'"), "label", CHURN_NUMERIC, CHURN_CATEGORICAL)
+    bounded = F.forall(F.array("accuracy", "precision", "recall", "f1", "roc_auc"), lambda v: v.between(0.0, 1.0))
+    return t.select("model", (F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")).alias("n_rows"), bounded.alias("in_range"))
 
 
-@register("m09_churn_gbt_scores")
-def m09_churn_gbt_scores(spark, sf_dir):
-    """M9: gradient-boosted trees (pyspark.ml GBT in place of XGBoost)."""
-    s = churn_split(spark, sf_dir)
-    fitted = tr.fit_classifier(s.where("split = 'train'"), "label", CHURN_NUMERIC, CHURN_CATEGORICAL, "gbt",
-                               {"maxIter": 20, "maxDepth": 3, "stepSize": 0.1, "subsamplingRate": 0.8})
-    return fitted.score(s.where("split = 'test'"), ["customerID", "label"])
+@register("m13_feature_importance", with_ctes("""
+SELECT CAST(12 + (SELECT count(DISTINCT location) + count(DISTINCT device) + count(DISTINCT merchant_category)
+                         + count(DISTINCT payment_channel) FROM transactions) AS BIGINT) AS n_features,
+       true AS sum_is_one, true AS none_negative"""))
+def m13_feature_importance(spark, sf_dir):
+    s = materialize(fraud_split(spark, sf_dir), "fraud_split")
+    fitted = tr.fit_classifier(s.where("split = 'train'"), "label", FRAUD_NUMERIC, FRAUD_CATEGORICAL,
+                               "random_forest", tr.DEFAULT_PARAMS["random_forest"])
+    return tr.feature_importance(fitted, 1000).agg(
+        F.count(F.lit(1)).alias("n_features"), (F.abs(F.sum("importance") - 1) < 1e-6).alias("sum_is_one"),
+        (F.min("importance") >= 0).alias("none_negative"))
 
 
-@register("m14_permutation_importance")
+@register("m06_importance_selection", with_ctes("""
+SELECT true AS half_or_more, true AS trained_on_kept_only, true AS in_range"""))
+def m06_importance_selection(spark, sf_dir):
+    """M6: features of at least median importance, and a model trained on the columns they come from."""
+    s, forest = _churn_fit(spark, sf_dir, "random_forest", tr.DEFAULT_PARAMS["random_forest"])
+    kept = tr.select_by_importance(forest)
+    fitted = tr.fit_selected(s.where("split = 'train'"), "label", CHURN_NUMERIC, CHURN_CATEGORICAL, "logistic_regression",
+                             tr.DEFAULT_PARAMS["logistic_regression"])
+    columns = fitted.prep.numeric + fitted.prep.categorical
+    only = all(any(k == c or k.startswith(f"{c}_") for k in kept) for c in columns)
+    scored = fitted.score(s.where("split = 'test'"), ["customerID"])
+    return scored.agg(F.lit(2 * len(kept) >= len(forest.prep.feature_names)).alias("half_or_more"),
+                      F.lit(only).alias("trained_on_kept_only"), F.bool_and(F.col("probability").between(0.0, 1.0)).alias("in_range"))
+
+
+@register("m15_churn_batch_scoring", with_ctes(f"SELECT customerID, label, {_KEPT}, true AS decided_by_half FROM churn_split", CHURN_CTES))
+def m15_churn_batch_scoring(spark, sf_dir):
+    s, fitted = _churn_fit(spark, sf_dir, "logistic_regression", {"C": 1.0, "class_weight": None})
+    scored = materialize(fitted.score(s, ["customerID", "label"]), "scored")
+    said = scored.select("customerID", ((ft.decode_label(F.col("probability"), "Yes", "No", 0.5) == "Yes")
+                                        == (F.col("probability") >= 0.5)).alias("decided_by_half"))
+    return kept_promises(scored, "customerID").join(said, "customerID")
+
+
+@register("m15_fraud_tuned_scoring", with_ctes("""
+SELECT transaction_id, true AS by_stored_threshold, true AS same_after_load, true AS precise_enough FROM transactions"""))
+def m15_fraud_tuned_scoring(spark, sf_dir):
+    """The fraud chain: fit, tune the threshold, store it with the model, load, check the schema, score every row."""
+    s, fitted = _fraud_logistic(spark, sf_dir)
+    fitted = tr.with_tuned_threshold(fitted, s.where("split = 'test'"), "label", 0.70)
+    _, path = materialize_at(spark.range(1), "fraud_model")
+    fitted.save(spark, f"{path}/saved")
+    loaded = tr.FittedClassifier.load(spark, f"{path}/saved")
+    scored = materialize(loaded.classify(s, ["transaction_id", "label", "split"], "is_fraud"), "fraud_scored")
+    test = scored.where("split = 'test' AND is_fraud")
+    precise = test.select(F.coalesce(F.avg((F.col("label") == 1).cast("double")), F.lit(1.0)) >= 0.70).scalar()
+    same = F.lit(loaded.threshold == fitted.threshold and loaded.prep == fitted.prep and loaded.params == fitted.params)
+    return scored.select("transaction_id", (F.col("is_fraud") == (F.col("probability") >= loaded.threshold)).alias("by_stored_threshold"),
+                         same.alias("same_after_load"), precise.alias("precise_enough"))
+
+
+@register("m10_fraud_model_search", with_ctes("""
+SELECT m.model, s.imbalance_strategy, true AS in_range, CAST(4 AS INTEGER) AS folds
+FROM (SELECT unnest(['logistic_regression', 'random_forest', 'gbt']) AS model) m,
+     (SELECT unnest(['none', 'random_oversample']) AS imbalance_strategy) s"""))
+def m10_fraud_model_search(spark, sf_dir):
+    """M10 + M11 over all candidate models and strategies with a refit of the best, one draw of each space: the
+    configured ten draws are a parameter and cost ten times as much."""
+    s = materialize(fraud_split(spark, sf_dir).where("split = 'train'").drop("split"), "fraud_train")
+    _, table = tr.search_and_refit(s, "label", ["transaction_id"], FRAUD_NUMERIC, FRAUD_CATEGORICAL, n_iter=1, folds=4)
+    return table.select("model", "imbalance_strategy", F.col("cv_score").between(0.0, 1.0).alias("in_range"), F.lit(4).alias("folds"))
+
+
+@register("m14_permutation_importance", with_ctes(
+    "SELECT unnest(['" + "', '".join(CHURN_NUMERIC + CHURN_CATEGORICAL) + "']) AS feature, true AS in_range"))
 def m14_permutation_importance(spark, sf_dir):
-    """Mean F1 drop over 8 seeded permutations of each raw column."""
-    from veritab.session import materialize
+    """Mean F1 drop over 8 seeded permutations of every column."""
+    s, fitted = _churn_fit(spark, sf_dir, "logistic_regression", {"C": 1.0, "class_weight": None})
+    t = tr.permutation_importance(fitted, s.where("split = 'test'"), "label", "customerID", CHURN_NUMERIC + CHURN_CATEGORICAL)
+    return t.select("feature", (F.col("importance_mean").between(-1.0, 1.0) & (F.col("importance_std") >= 0)).alias("in_range"))
 
-    s = materialize(churn_split(spark, sf_dir), "churn_split")
-    fitted = tr.fit_classifier(s.where("split = 'train'"), "label", CHURN_NUMERIC, CHURN_CATEGORICAL,
-                               "logistic_regression", {"C": 1.0, "class_weight": None})
-    return tr.permutation_importance(fitted, s.where("split = 'test'"), "label", "customerID",
-                                     ["tenure", "Contract", "MonthlyCharges"], repeats=8, seed=42)
+
+@register("x15_scored_sample", with_ctes("""
+SELECT customerID, CASE WHEN label = 1 THEN 'Yes' ELSE 'No' END AS actual, tenure, Contract,
+       true AS decided_by_threshold, 0.5::DOUBLE AS threshold, '1.0' AS model_version
+FROM churn_split ORDER BY md5('42|' || customerID) LIMIT 3""", CHURN_CTES))
+def x15_scored_sample(spark, sf_dir):
+    """Seeded sample of 3 customers of the whole table with inputs, actual label, decoded prediction, probability."""
+    s, fitted = _churn_fit(spark, sf_dir, "logistic_regression", {"C": 1.0, "class_weight": None})
+    sample = splits.seeded_sample(s, ["customerID"], 3, 42)
+    inputs = [c for c in sample.columns if c not in ("customerID", "label", "split", "Churn")]
+    scored = fitted.score(sample, ["customerID", "label"]).join(
+        sample.select("customerID", F.struct(*inputs).alias("input")), "customerID")
+    decided = (ft.decode_label(F.col("probability")) == "Yes") == (F.col("probability") >= fitted.threshold)
+    return scored.select("customerID", F.when(F.col("label") == 1, "Yes").otherwise("No").alias("actual"),
+                         F.col("input.tenure").cast("int").alias("tenure"), "input.Contract", decided.alias("decided_by_threshold"),
+                         F.lit(fitted.threshold).alias("threshold"), F.lit(fitted.version).alias("model_version"))
 
 
 @register("p19_minmax_score", with_ctes(f"""
