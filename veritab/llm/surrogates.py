@@ -44,10 +44,12 @@ PATTERNS = (
     ("ssn", r"(?<![\w.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"),
     ("phone", r"(?<![\w+.])\+[1-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{1,4}\)?){2,5}(?![\w])|(?<![\w(])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?!\w)"
               r"|(?<![\w.+-])[0-9]{3}([.-])[0-9]{3}\1[0-9]{4}(?![\w-])"),
-    ("person", rf"(?<![\p{{L}}\p{{N}}])(?:(?:{_TITLE})\.? {_NAME}(?: {_NAME})?|(?:{_GIVEN}) {_NAME})"),
+    ("person", rf"(?=\p{{Lu}})(?<![\p{{L}}\p{{N}}])(?:(?:{_TITLE})\.? {_NAME}(?: {_NAME})?|(?:{_GIVEN}) {_NAME})"),
 )
 #: one pattern that finds all; its back-reference is spelled out because the parts lose their own groups
-ANY = "|".join(f"(?:{p})" for _, p in PATTERNS).replace(r"([.-])[0-9]{3}\1[0-9]{4}", r"(?:\.[0-9]{3}\.|-[0-9]{3}-)[0-9]{4}")
+ANY = r"(?<![\p{L}\p{N}])(?:" + "|".join(f"(?:{p})" for _, p in PATTERNS).replace(
+    r"([.-])[0-9]{3}\1[0-9]{4}", r"(?:\.[0-9]{3}\.|-[0-9]{3}-)[0-9]{4}") + ")"
+PERSON = PATTERNS[-1][1]
 
 #: fixed values: alphabets whose letters stand in for each other
 ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "абвгдежзиклмнопрстуфхцчшщэюя",
@@ -80,11 +82,15 @@ def _replaced(form: Column, stream: Column, skip: Column | None = None) -> Colum
 
     def letter(c, i):
         r = _byte(stream, i)
-        out = F.when(c.rlike(r"\p{Lu}"), F.substr(F.lit(ALPHABETS[2]), r % 26 + 1, F.lit(1))).when(
-            c.rlike(r"\p{L}"), F.substr(F.lit(ALPHABETS[1]), r % 26 + 1, F.lit(1))).otherwise(c)
-        for letters in reversed(ALPHABETS):
-            out = F.when(F.instr(F.lit(letters), c) > 0, F.substr(F.lit(letters), r % len(letters) + 1, F.lit(1))).otherwise(out)
-        return F.when(i < skip, c).otherwise(out)
+        of = lambda letters: F.substr(F.lit(letters), r % len(letters) + 1, F.lit(1))
+        out = F.when(i < skip, c)
+        for letters in ALPHABETS[:3]:
+            out = out.when((c >= letters[0]) & (c <= letters[-1]), of(letters))
+        out = out.when(c < "\x80", c)
+        for letters in ALPHABETS[3:]:
+            out = out.when(F.instr(F.lit(letters), c) > 0, of(letters))
+        # letters of other scripts and with accents become plain ones of their case
+        return out.when(c.rlike(r"\p{Lu}"), of(ALPHABETS[2])).when(c.rlike(r"\p{L}"), of(ALPHABETS[1])).otherwise(c)
 
     return F.array_join(F.transform(F.split(form, ""), letter), "")
 
@@ -202,8 +208,9 @@ def assign(pieces: DataFrame, key: str) -> DataFrame:
         moved = judged.where("_taken").count()
         if not moved:
             return table
-        again = made(judged.select("kind", "norm", "form", (F.col("attempt") + F.col("_taken").cast("int")).alias("attempt")))
-        table = staged(again.select("kind", "made", "norm", "form", "attempt"), "pii-assigned")
+        settled = judged.where(~F.col("_taken")).select("kind", "norm", "form", "attempt", "made")
+        again = made(judged.where("_taken").select("kind", "norm", "form", (F.col("attempt") + 1).alias("attempt")))
+        table = staged(settled.unionByName(again), "pii-assigned")
     raise ValueError("a kind of personal data has fewer surrogates than distinct values")
 
 
@@ -217,7 +224,8 @@ def replace_entities(docs: DataFrame, key: str = "surrogates-1", text_col: str =
     columns = [c for c in docs.columns if c not in ("pii_count", "pii_kinds")]
     docs = docs.select(*[F.col(f"`{c}`") for c in columns])
     text = F.col(text_col).cast("string")
-    marked = F.coalesce(text.rlike(ANY), F.lit(False))
+    # cheap signs first: all but persons hold a digit, an at sign or the head of a key
+    marked = F.coalesce((text.rlike("[0-9@]") | text.contains("-----BEGIN") | text.rlike(PERSON)) & text.rlike(ANY), F.lit(False))
     clean = docs.where(~marked).withColumns({"pii_count": F.lit(0), "pii_kinds": F.array().cast("array<string>")})
     dirty = docs.where(marked).withColumn("_digest", F.sha2(text, 256))
     texts = dirty.groupBy("_digest").agg(F.first(text).alias("_text"))
