@@ -1,8 +1,8 @@
-"""Column roles and model settings as plain frozen dataclasses."""
+"""Column roles and model settings as plain frozen dataclasses; the numbers and names are fixed values."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -13,52 +13,18 @@ class RecColumns:
     rating: str = "rating"
     interaction: str = "interaction_type"
     target: str = "signal"
-    # explicit file-order columns used wherever the reference relies on row order
+    # explicit file-order columns used wherever results depend on row order
     order_cols: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
 class RecModel:
     top_k_neighbors: int = 20
-    top_k_eval: int = 10
-    min_interactions_per_user: int = 2
-    cf_weight: float = 0.55
-    cb_weight: float = 0.30
-    popularity_weight: float = 0.15
-    max_top_n: int = 50
     item_blend: float = 0.65
     user_blend: float = 0.35
 
 
-@dataclass(frozen=True)
-class FraudConfig:
-    id_column: str = "transaction_id"
-    time_column: str = "transaction_time"
-    target: str = "label"
-    test_size: float = 0.2
-    seed: int = 42
-    cv_folds: int = 4
-    n_iter: int = 10
-    precision_floor: float = 0.70
-    drop_columns: tuple[str, ...] = ("transaction_id", "transaction_time")
-    required: tuple[str, ...] = (
-        "transaction_id", "user_id", "transaction_amount", "transaction_time", "location", "device",
-        "merchant_category", "payment_channel", "is_international", "card_present",
-        "previous_transactions_24h", "avg_spend_7d", "label",
-    )
-
-
-@dataclass(frozen=True)
-class ChurnConfig:
-    id_column: str = "customerID"
-    target: str = "Churn"
-    test_size: float = 0.2
-    seed: int = 42
-    cv_folds: int = 5
-    n_iter: int = 20
-
-
-@dataclass(frozen=True)
-class RecConfig:
-    columns: RecColumns = field(default_factory=RecColumns)
-    model: RecModel = field(default_factory=RecModel)
+#: columns a transactions table must have
+FRAUD_REQUIRED = ("transaction_id", "user_id", "transaction_amount", "transaction_time", "location", "device",
+                  "merchant_category", "payment_channel", "is_international", "card_present",
+                  "previous_transactions_24h", "avg_spend_7d", "label")

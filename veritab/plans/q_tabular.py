@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from veritab.config import FRAUD_REQUIRED
 from veritab.functions import features as ft
 from veritab.operators import dedup, profile, quality, splits
 from veritab.operators.recsys import signals as rs
@@ -41,17 +42,11 @@ def _union(parts: list[str]) -> str:
 ])))
 def q03_quality_report(spark, sf_dir):
     tx = fx.transactions(spark, sf_dir)
-    quality.require_columns(tx, fx_required())
+    quality.require_columns(tx, FRAUD_REQUIRED)
     return quality.quality_report(tx, key_cols=["transaction_id", "user_id"], label_col="label",
                                   id_col="transaction_id", time_col="transaction_time")
 
 
-def fx_required():
-    from veritab.config import FraudConfig
-
-    return FraudConfig().required
-
-
 @register("q08_unknown_items", with_ctes("""
 SELECT 'unknown_item_id' AS check_name, CAST(count(DISTINCT item_id) AS BIGINT) AS bad_rows, 'warn' AS severity
 FROM interactions_variants WHERE item_id IS NOT NULL AND item_id NOT IN (SELECT item_id FROM items_raw)"""))

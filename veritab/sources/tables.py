@@ -22,9 +22,20 @@ def read_table(spark: SparkSession, path: str, fmt: str | None = None, schema: T
     if fmt == "parquet":
         return spark.read.parquet(path)
     reader = spark.read.option("header", header).option("mode", "PERMISSIVE")
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    df = reader.csv(path)
-    return normalise_null_tokens(df)
+    if schema is not None:
+        return normalise_null_tokens(reader.schema(schema).csv(path))
+    return inferred(normalise_null_tokens(reader.csv(path)))
+
+
+def inferred(df: DataFrame) -> DataFrame:
+    """Text columns whose every value is a number become long or double; null tokens have gone before, so they do not
+    keep a column textual."""
+    counts = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(df.columns)],
+                    *[F.count(F.col(c).try_cast("long")).alias(f"l{i}") for i, c in enumerate(df.columns)],
+                    *[F.count(F.col(c).try_cast("double")).alias(f"d{i}") for i, c in enumerate(df.columns)]).first()
+    kinds = {c: next((k for k, x in (("long", "l"), ("double", "d")) if counts[f"n{i}"] and counts[f"{x}{i}"] == counts[f"n{i}"]), None)
+             for i, c in enumerate(df.columns)}
+    return df.select(*[F.col(c).cast(kinds[c]).alias(c) if kinds[c] else F.col(c) for c in df.columns])
 
 
 def normalise_null_tokens(df: DataFrame, tokens=NULL_TOKENS) -> DataFrame:
