@@ -61,14 +61,6 @@ def unknown_references(facts: DataFrame, dim: DataFrame, key: str) -> DataFrame:
         .select(F.lit("unknown_" + key).alias("check_name"), "bad_rows", F.lit("warn").alias("severity"))
 
 
-def raise_on_errors(report: DataFrame) -> None:
-    bad = report.where((F.col("severity") == "error") & (F.col("bad_rows") > 0) | (
-        (F.col("check_name") == "row_count") & (F.col("bad_rows") == 0))).limit(5).collect()
-    if bad:
-        raise ValueError("Data quality errors: " + ", ".join(f"{r['check_name']}={r['bad_rows']}" for r in bad))
-
-
-# ---- fixed values: per-record constraints of a scoring request ---------------------------
 def transaction_rules() -> list[tuple[str, Column]]:
     """Q9 predicates; a NULL predicate counts as failed."""
     s = lambda c: F.length(F.col(c).cast("string"))
@@ -94,11 +86,6 @@ def validate_records(df: DataFrame, rules: list[tuple[str, Column]] | None = Non
     return out.withColumn("is_valid", F.size("failed_rules") == 0)
 
 
-def split_valid(df: DataFrame, rules=None) -> tuple[DataFrame, DataFrame]:
-    checked = validate_records(df, rules)
-    return checked.where("is_valid").drop("failed_rules", "is_valid"), checked.where(~F.col("is_valid"))
-
-
 def validate_requests(df: DataFrame, max_top_n: int = 50, default_top_n: int = 10, max_user: int = 10 ** 10,
                       user_col: str = "user_id", n_col: str = "top_n") -> DataFrame:
     """Q10: recommend-request constraints plus the service clamp ``max(1, min(top_n, max))``."""

@@ -1,4 +1,4 @@
-"""Class-imbalance handling on DataFrames.
+"""Class-imbalance handling on DataFrames.
 
 Random oversampling draws, for every missing copy ``j`` of a class, the row
 whose in-class rank is ``md5(seed|class|j) mod n_c``: sampling with
@@ -45,19 +45,17 @@ def random_oversample(df: DataFrame, label_col: str, key_cols: list[str], seed:
     return originals.unionByName(synthetic.select(*originals.columns))
 
 
-def no_resampling(df: DataFrame) -> DataFrame:
-    """The ``none`` strategy."""
-    return df
+def class_weight_table(df: DataFrame, label_col: str, weight_col: str = "class_weight") -> DataFrame:
+    """One row per class with its ``balanced`` weight n / (n_classes * n_c)."""
+    counts = class_counts(df, label_col)
+    whole = counts.agg(F.struct(F.sum("_class_n").alias("t"), F.count(F.lit(1)).alias("k")).alias("w")).scalar()
+    return counts.withColumn(weight_col, whole.getField("t") / (whole.getField("k") * F.col("_class_n").cast("double"))) \
+        .drop("_class_n")
 
 
 def balanced_class_weights(df: DataFrame, label_col: str, weight_col: str = "class_weight") -> DataFrame:
-    """``balanced`` weight n / (n_classes * n_c), joined from the per-class count table."""
-    counts = class_counts(df, label_col)
-    spark_total = counts.agg(F.sum("_class_n").alias("_t"), F.count(F.lit(1)).alias("_k"))
-    total = spark_total.select("_t").scalar()
-    k = spark_total.select("_k").scalar()
-    weights = counts.withColumn(weight_col, total / (k * F.col("_class_n").cast("double"))).drop("_class_n")
-    return null_safe_join(df, weights, [label_col])
+    """``df`` with the weight of each row's class; rows without a label are a class."""
+    return null_safe_join(df, class_weight_table(df, label_col, weight_col), [label_col])
 
 
 def positive_weight(df: DataFrame, label_col: str, scale_pos_weight: float, weight_col: str = "class_weight"):

@@ -131,7 +131,7 @@ SELECT label, {r6('(SELECT count(*) FROM transactions) / (2.0 * count(*))')} AS
 GROUP BY label"""))
 def d10_class_weights(spark, sf_dir):
     t = fx.transactions(spark, sf_dir).select("label")
-    return rounded(sampling.balanced_class_weights(t, "label").select("label", "class_weight").distinct())
+    return rounded(sampling.class_weight_table(t, "label"))
 
 
 # ---------------------------------------------------------------- model fits

@@ -68,7 +68,7 @@ def _memo(spark, sf_dir, name, build):
 
 
 def prepared_interactions(spark, sf_dir):
-    return rs.prepare_interactions(fx.interactions(spark, sf_dir), REC_COLS)
+    return rs.prepare_interactions(fx.interactions(spark, sf_dir), REC_COLS, fx.ratings(spark, sf_dir))
 
 
 def split_interactions(spark, sf_dir):
@@ -126,7 +126,7 @@ def r03_popularity_top10(spark, sf_dir):
 SELECT user_id, item_id, interaction_type, "timestamp", l_orderkey, l_linenumber, {r6('signal')} AS signal
 FROM signalled"""))
 def p13_interaction_signal(spark, sf_dir):
-    df = rs.add_signal(fx.interactions(spark, sf_dir), REC_COLS)
+    df = rs.add_signal(fx.interactions(spark, sf_dir), REC_COLS, fx.ratings(spark, sf_dir))
     return rounded(df.select("user_id", "item_id", "interaction_type", "timestamp", "l_orderkey", "l_linenumber",
                              "signal"))
 

@@ -80,6 +80,12 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 """
 
 
+def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rating column alone, without the join that gives the users."""
+    rated = F.when(F.col("l_linenumber") != 7, F.ceil(F.col("l_quantity") / 10).cast("double"))
+    return table(spark, sf_dir, "lineitem").select(rated.alias("rating"))
+
+
 def interactions_with_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The interactions, some of them with items that the catalog does not know."""
     named = F.when(F.col("l_linenumber") == VARIANT_LINE, F.concat("item_id", F.lit("-v"))).otherwise(F.col("item_id"))
