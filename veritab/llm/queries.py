@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,8 +20,22 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; Python workers are told where this package lies, for a driver started elsewhere.
+
+    On a cluster the package is shipped with ``--py-files`` as usual.
+    """
+    import veritab
+
+    home = os.path.dirname(os.path.dirname(os.path.abspath(veritab.__file__)))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if home not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [home, known]))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return table(spark, sf_dir, "documents")
 
 
 def bpe_digests(docs: DataFrame, keep: tuple = ("doc_id",)) -> DataFrame:
@@ -43,7 +59,7 @@ def op3_licence_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_topk_inner_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
 def op5_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +78,7 @@ def op7_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    labels = table(spark, sf_dir, "labels")
     return resampling.resample(documents(spark, sf_dir), labels)
 
 
