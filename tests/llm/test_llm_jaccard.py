@@ -69,7 +69,7 @@ def test_components_equal_brute_force(spark, monkeypatch, common):
 
 def test_large_near_copy_group_by_shuffled_keys(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "COMMON", 8)
-    monkeypatch.setattr(jaccard, "PARTNERS", 16)
+    monkeypatch.setattr(jaccard, "CELL_PAIRS", 16)
     monkeypatch.setattr(jaccard, "FEW_KEYS", 1)
     rows = family(5, 90, 6, 0) + [(1000 + i, prose(70 + i, 90)) for i in range(20)]
     frame = spark.createDataFrame(rows, "doc_id long, text string")

@@ -5,11 +5,11 @@ All shingles have one global order, that of their 64-bit hashes. Texts with equa
 Candidates come from the first fragment of the order: two sets that reach the similarity share a shingle among the
 first n - ceil(0.85 n) + 1 of each. A shingle that very many sets begin with (a passage, a group of copies) is moved to
 the end of the order; sets that begin a little further still have enough other shingles, and the few that do not are
-matched in the unchanged order. Sizes of the fragments bound the overlap of a pair from above and drop most false
+matched in the unchanged order. Parities of the fragments bound the difference of a pair from below and drop most false
 candidates. For those left, the order is cut into fragments, the overlap is counted in each fragment on its own and the
 counts are summed per pair.
 
-Only components are wanted, so every class is first linked to the smallest of its neighbours in the order, and then
+Only components are wanted, so every class is first compared with a few of those it shares shingles with, and then
 only pairs that these links leave in different components are examined: a group of n near copies costs about n pairs.
 """
 
@@ -33,10 +33,15 @@ WORDS = 4
 PERCENT = 85
 #: a shingle that more classes than this begin with goes to the end of the order
 COMMON = 64
-#: fragments whose sizes bound an overlap, and fragments in which overlaps are counted
-SIZE_FRAGMENTS, COUNT_FRAGMENTS = 32, 8
-#: partners of one class that are compared in one task
-PARTNERS = 256
+#: shingles of each set that are looked at, at least: a short text keeps enough rare ones beside a common passage
+LOOKED_AT = 80
+#: fragments whose parities bound a difference, and fragments in which overlaps are counted
+ODD_FRAGMENTS, COUNT_FRAGMENTS = 2048, 8
+ODD = [f"f{i}" for i in range(ODD_FRAGMENTS // 64)]
+#: parities of the sums of four fragments each, which travel with every row
+COARSE = [f"s{i}" for i in range(len(ODD) // 4)]
+#: pairs that are compared in one task, about
+CELL_PAIRS = 1_000
 #: so many texts to fetch at most are broadcast by key
 FEW_KEYS = 200_000
 
@@ -69,11 +74,11 @@ def needed(n):
 def _first_fragment(n: int) -> tuple[int, int]:
     """Shingles of a set of n that candidates are sought by, and how many of the order's first are looked at."""
     least = n - needed(n) + 1
-    return least, min(n, least + least // 6 + 4)
+    return least, min(n, max(least + least // 6 + 4, LOOKED_AT))
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) -> doc_id, th, n, least, cls, sizes (of fragments), first (shingles in order)."""
+    """(doc_id, text) -> doc_id, th, n, least, cls, parities of fragments (a bit each), first shingles in order."""
     slim = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
     id_type = slim.schema["doc_id"].dataType.simpleString()
 
@@ -84,36 +89,43 @@ def _sets(docs: DataFrame) -> DataFrame:
                 n = np.array([len(s) for s in sets], np.int32)
                 bounds = [_first_fragment(int(k)) if k else (0, 0) for k in n]
                 first = [s[:b[1]].view(np.int64) for s, b in zip(sets, bounds)]
-                sizes = [np.bincount((s >> np.uint64(59)).astype(np.int64), minlength=SIZE_FRAGMENTS) for s in sets]
+                odd = np.array([np.bincount((s >> np.uint64(53)).astype(np.int64), minlength=ODD_FRAGMENTS) & 1 for s in sets])
+                packed = np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
                 cls = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(start, stop - start), batch.column(1).slice(start, stop - start), pa.array(n),
                     pa.array([b[0] for b in bounds], pa.int32()), pa.array(cls),
-                    pa.ListArray.from_arrays(np.arange(0, SIZE_FRAGMENTS * len(sets) + 1, SIZE_FRAGMENTS, np.int32),
-                                             pa.array(np.concatenate(sizes).astype(np.int32))),
+                    *[pa.array(np.ascontiguousarray(packed[:, i])) for i in range(len(ODD))],
                     pa.ListArray.from_arrays(np.cumsum([0, *map(len, first)]).astype(np.int32),
                                              pa.array(np.concatenate(first)))],
-                    ["doc_id", "th", "n", "least", "cls", "sizes", "first"])
+                    ["doc_id", "th", "n", "least", "cls", *ODD, "first"])
 
     return slim.mapInArrow(
-        run, f"doc_id {id_type}, th long, n int, least int, cls long, sizes array<int>, first array<long>")
+        run, f"doc_id {id_type}, th long, n int, least int, cls long, {', '.join(f'{c} long' for c in ODD)}, first array<long>")
 
 
-def _may_link(a: str, b: str) -> Column:
-    """Whether sizes, and sizes of fragments, of two classes allow a link."""
+def _least_overlap(a: str, b: str) -> Column:
+    return F.ceil((F.col(f"{a}.n") + F.col(f"{b}.n")) * PERCENT / F.lit(100.0 + PERCENT) - 1e-9)
+
+
+def _may_link(a: str, b: str, parities: list[str]) -> Column:
+    """Whether sizes, and parities of the fragments, of two classes allow a link.
+
+    What two sets share adds equally to a fragment of both, so a fragment that is odd in one and even in the other
+    holds at least one shingle of their difference.
+    """
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
     lengths = (100 * F.least(na, nb) >= PERCENT * F.greatest(na, nb))
-    overlap = F.ceil((na + nb) * PERCENT / F.lit(100.0 + PERCENT) - 1e-9)
-    apart = sum((F.abs(F.col(f"{a}.sizes")[i] - F.col(f"{b}.sizes")[i]) for i in range(SIZE_FRAGMENTS)), F.lit(0))
-    return lengths & (apart <= na + nb - 2 * overlap)
+    apart = sum((F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in parities), F.lit(0))
+    return lengths & (apart <= na + nb - 2 * _least_overlap(a, b))
 
 
 def _pruned(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes whose sizes allow a link, with the sizes na and nb."""
-    left = classes.select(F.col("cls").alias("a"), F.struct("n", "sizes").alias("ca"))
-    right = classes.select(F.col("cls").alias("b"), F.struct("n", "sizes").alias("cb"))
-    both = pairs.join(left, "a").join(right, "b").where(_may_link("ca", "cb"))
-    return both.select("a", "b", F.col("ca.n").alias("na"), F.col("cb.n").alias("nb"))
+    """Pairs (a, b) of classes whose sizes and parities allow a link, with the sizes na and nb and the first shingle of a."""
+    left = classes.select(F.col("cls").alias("a"), F.struct("n", "low", *ODD).alias("ca"))
+    right = classes.select(F.col("cls").alias("b"), F.struct("n", *ODD).alias("cb"))
+    both = pairs.join(left, "a").join(right, "b").where(_may_link("ca", "cb", ODD))
+    return both.select("a", "b", F.col("ca.n").alias("na"), F.col("cb.n").alias("nb"), F.col("ca.low").alias("low"))
 
 
 def _fragments(docs: DataFrame, members: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -142,47 +154,54 @@ def _fragments(docs: DataFrame, members: DataFrame, wanted: DataFrame) -> DataFr
 
 
 def _count(rows: pd.DataFrame) -> pd.DataFrame:
-    """Partial overlaps of one class with a block of partners in one fragment; repeated rows count once."""
-    own, partners = rows[rows["own"]], rows[~rows["own"]].drop_duplicates("b")
-    if not len(own) or not len(partners):
-        return pd.DataFrame({"a": [], "b": [], "shared": []}).astype("int64")
-    mine = np.frombuffer(own["shingles"].iloc[0], np.uint64)
-    shared = []
-    for other in partners["shingles"]:
-        theirs = np.frombuffer(other, np.uint64)
+    """Partial overlaps in one fragment of a cell, from its pairs and the shingles of its classes."""
+    held = rows["shingles"].notna()
+    sets = {c: np.frombuffer(x, np.uint64) for c, x in zip(rows["a"][held], rows["shingles"][held])}
+    pairs, shared = rows[~held], []
+    for a, b in zip(pairs["a"], pairs["b"]):
+        mine, theirs = sets[a], sets[b]
         at = np.searchsorted(mine, theirs)
         shared.append(int((mine[np.minimum(at, len(mine) - 1)] == theirs).sum()) if len(mine) and len(theirs) else 0)
-    return pd.DataFrame({"a": rows["a"].iloc[0], "b": partners["b"], "shared": shared})
+    return pd.DataFrame({"a": pairs["a"], "b": pairs["b"], "shared": np.array(shared, np.int64)})
 
 
 def _linked(docs: DataFrame, members: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b, na, nb) that reach the similarity: overlaps counted by fragment and summed per pair."""
+    """The pairs (a, b, na, nb, low) that reach the similarity: overlaps counted by fragment and summed per pair.
+
+    Pairs are dealt by the first shingle of a, which similar sets mostly share, so that a class travels to few cells;
+    the pairs of a shingle that very many have are dealt over a square of blocks.
+    """
     pairs = staged(pairs, "jaccard-pairs")
     wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
     parts = _fragments(docs, members, wanted)
-    blocks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("long").alias("_blocks"))
-    placed = pairs.join(blocks, "a").withColumn("block", F.pmod(F.xxhash64("b"), F.col("_blocks")))
-    theirs = placed.select("a", "block", "b", F.lit(False).alias("own")).join(parts.withColumnRenamed("cls", "b"), "b")
-    mine = blocks.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1))).select(
-        "a", "block", F.lit(0).cast("long").alias("b"), F.lit(True).alias("own")).join(parts.withColumnRenamed("cls", "a"), "a")
-    counted = theirs.unionByName(mine).groupBy("a", "block", "fragment").applyInPandas(_count, "a long, b long, shared long")
+    blocks = pairs.groupBy("low").agg(F.ceil(F.sqrt(F.count(F.lit(1)) / CELL_PAIRS)).cast("long").alias("_side"))
+    side = lambda c: F.pmod(F.xxhash64(c), F.col("_side"))
+    cells = max(1, pairs.count() // CELL_PAIRS)
+    placed = pairs.join(blocks, "low").withColumn("cell", F.pmod(F.xxhash64("low", side("a"), side("b")), F.lit(cells)))
+    sets = placed.select("cell", F.explode(F.array("a", "b")).alias("cls")).distinct().join(parts, "cls")
+    asked = placed.select("cell", "a", "b", F.explode(F.sequence(F.lit(0), F.lit(COUNT_FRAGMENTS - 1))).alias("fragment"))
+    rows = asked.withColumn("shingles", F.lit(None).cast("binary")).unionByName(sets.select(
+        "cell", F.col("cls").alias("a"), F.col("cls").alias("b"), "fragment", "shingles"))
+    counted = rows.groupBy("cell", "fragment").applyInPandas(_count, "a long, b long, shared long")
     summed = counted.groupBy("a", "b").agg(F.sum("shared").alias("shared"))
     reach = (100 + PERCENT) * F.col("shared") >= PERCENT * (F.col("na") + F.col("nb"))
     return staged(pairs.join(summed, ["a", "b"]).where(reach).select("a", "b"), "jaccard-links")
 
 
 def _runs(members: DataFrame) -> DataFrame:
-    """(t, cls, m): shingles that m > 1 classes begin with; equal sets are one class before anything is dealt by shingle."""
+    """(t, cls, pos, m): shingles that m > 1 classes begin with, at place pos of theirs; equal sets are one class
+    before anything is dealt by shingle."""
     one = members.where("n > 0").groupBy("cls").agg(F.first("first").alias("first"))
-    tokens = one.select("cls", F.explode("first").alias("t"))
+    tokens = one.select("cls", F.posexplode("first").alias("pos", "t"))
     often = tokens.groupBy("t").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    return staged(tokens.join(often, "t").select("t", "cls", "m"), "jaccard-runs")
+    return staged(tokens.join(often, "t").select("t", "cls", "pos", "m"), "jaccard-runs")
 
 
-def _stars(runs: DataFrame) -> DataFrame:
-    """Every class of a run paired with the smallest class of the run."""
-    least = runs.groupBy("t").agg(F.min("cls").alias("a"))
-    return runs.join(least, "t").where("cls <> a").select("a", F.col("cls").alias("b")).distinct()
+def _stars(runs: DataFrame, drawn: Column) -> DataFrame:
+    """Every class of a run paired with the class of the run that ``drawn`` puts first."""
+    least = runs.groupBy("t").agg(F.min_by("cls", drawn).alias("a"))
+    pairs = runs.join(least, "t").where("cls <> a")
+    return pairs.select(F.least("cls", "a").alias("a"), F.greatest("cls", "a").alias("b")).distinct()
 
 
 def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -196,38 +215,49 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
     docs = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     members = staged(_sets(docs), "jaccard-members")
     classes = members.where("n > 0").groupBy("cls").agg(
-        F.first("n").alias("n"), F.first("least").alias("least"), F.first("sizes").alias("sizes"),
-        F.first(F.size("first")).alias("looked"))
-    classes = staged(classes, "jaccard-classes")
+        *[F.first(c).alias(c) for c in ("n", "least", *ODD)], F.first(F.size("first")).alias("looked"),
+        F.first(F.get("first", F.lit(0))).alias("low"))
+    fours = {s: F.col(ODD[4 * i]).bitwiseXOR(F.col(ODD[4 * i + 1])).bitwiseXOR(F.col(ODD[4 * i + 2])).bitwiseXOR(F.col(ODD[4 * i + 3]))
+             for i, s in enumerate(COARSE)}
+    classes = staged(classes.withColumns(fours), "jaccard-classes")
     runs = _runs(members)
     common = runs.where(F.col("m") > COMMON)
+    moved = staged(common.groupBy("cls").agg(F.count(F.lit(1)).alias("moved")), "jaccard-moved")
     # classes left with too few shingles when the common ones go to the end of the order
-    bare = common.groupBy("cls").agg(F.count(F.lit(1)).alias("_common")).join(
-        classes.select("cls", "least", "looked"), "cls").where("looked - _common < least").select("cls")
-    bare = staged(bare, "jaccard-bare")
+    bare = staged(moved.join(classes.select("cls", "least", "looked"), "cls").where("looked - moved < least").select("cls"),
+                  "jaccard-bare")
     bare_runs = common.join(bare, "cls", "left_semi").select("t", "cls", "m")
-    near = _stars(runs.where(F.col("m") <= COMMON)).unionByName(_stars(bare_runs)).distinct()
+    # in groups that share their shingles, another class is drawn by each shingle, so that each is compared with many
+    near = _stars(runs.where(F.col("m") <= COMMON), F.col("cls")).unionByName(
+        _stars(bare_runs, F.xxhash64("cls", "t"))).distinct()
     links = _linked(docs, members, _pruned(near, classes))
     grouped = staged(components(links), "jaccard-groups")
 
     # what the first links left apart: pairs of one run in different components
     told = runs.join(grouped.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "component", F.coalesce("component", "cls"))
-    told = staged(told, "jaccard-told")
     mixed = told.groupBy("t").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where(
         "_low <> _high").select("t")
-    told = told.join(mixed, "t", "left_semi").join(classes.select("cls", "n", "sizes"), "cls")
-    rest = told.where(F.col("m") <= COMMON)
-    apart = (F.col("x.component") != F.col("y.component")) & _may_link("x", "y") & (F.col("x.t") == F.col("y.t"))
+    told = told.join(mixed, "t", "left_semi").join(classes.select("cls", "n", "least", *COARSE), "cls")
+    # without the common shingles a place is by at most their number nearer to the beginning
+    told = told.join(moved, "cls", "left").withColumn("pos", F.when(F.col("m") > COMMON, F.col("pos")).otherwise(
+        F.greatest(F.lit(0), F.col("pos") - F.coalesce("moved", F.lit(0))))).where("pos < least")
+    asked = bare_runs.select("t").distinct().withColumn("_asked", F.lit(True))
+    told = told.join(asked, "t", "left").where((F.col("m") <= COMMON) | F.col("_asked"))
+    # sets that may be similar have sizes in the same step of 1 / 0.85, or in neighbouring ones
+    told = staged(told.drop("moved", "least", "_asked").withColumn(
+        "step", F.floor(F.log("n") / np.log(100 / PERCENT)).cast("int")), "jaccard-told")
+    rest, many = told.where(F.col("m") <= COMMON), told.where(F.col("m") > COMMON)
+    near_steps = many.join(bare, "cls", "left_semi").withColumn(
+        "step", F.explode(F.array(F.col("step") - 1, F.col("step"), F.col("step") + 1)))
+    # at the first shingle that two sets share, what follows it in both must hold the rest of the overlap
+    follows = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) >= _least_overlap("x", "y")
+    apart = (F.col("x.component") != F.col("y.component")) & follows & _may_link("x", "y", COARSE) & (F.col("x.t") == F.col("y.t"))
     pair = lambda x, y, rule: x.alias("x").join(y.alias("y"), rule & apart).select(
         F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"))
-    many = told.where(F.col("m") > COMMON)
     far = pair(rest, rest, F.col("x.cls") < F.col("y.cls")).unionByName(
-        pair(many.join(bare, "cls", "left_semi"), many, F.col("x.cls") != F.col("y.cls"))).distinct()
-    sized = classes.select("cls", "n")
-    far = far.join(sized.select(F.col("cls").alias("a"), F.col("n").alias("na")), "a").join(
-        sized.select(F.col("cls").alias("b"), F.col("n").alias("nb")), "b")
-    links = links.unionByName(_linked(docs, members, far))
+        pair(near_steps, many, (F.col("x.cls") != F.col("y.cls")) & (F.col("x.step") == F.col("y.step")))).distinct()
+    links = links.unionByName(_linked(docs, members, _pruned(far, classes)))
     grouped = components(links).withColumnRenamed("node", "cls")
     placed = members.select("doc_id", "th", "n", "cls").join(grouped, "cls", "left").withColumn(
         "component", F.coalesce("component", "cls"))
