@@ -1,5 +1,7 @@
 """Language identification by held-out accuracy, resampling against a direct count, top-k against all pairs."""
 
+import zlib
+
 import numpy as np
 import pytest
 
@@ -40,6 +42,24 @@ def test_held_out_rows_do_not_teach(spark):
     assert langid.fit(docs) == langid.fit(spoiled)
 
 
+def test_languages_of_little_text_do_not_spoil_the_others(spark):
+    from pyspark.sql import functions as F
+
+    docs = queries.documents(spark, MIDDLE).select("doc_id", "text", "lang")
+    ids = [i for i in range(10 ** 9, 10 ** 9 + 40) if zlib.crc32(str(i).encode()) % 4 != 2]
+    # a language of 20 letters, one of an empty text, one without letters, one with a single document of some length
+    rare = "kwezu mbali ngoto wafi shunde lobira tukumo zeph " * 20
+    few = [(ids[0], "ngiyabonga kakhulu wena", "s"), (ids[1], "", "t"), (ids[2], "12 34", "u"), (ids[3], rare[:700], "w")]
+    learned = langid.fit(docs.unionByName(spark.createDataFrame(few, "doc_id long, text string, lang string")))
+    assert [lang for lang, _ in learned] == ["de", "en", "es", "fr", "s", "w"]
+    assert len(dict(learned)["en"]) > len(dict(learned)["w"]) > len(dict(learned)["s"])
+    held = docs.where(langid.held_out(F.col("doc_id")))
+    found = langid.predict(held, learned, ["doc_id", "lang"]).collect()
+    assert np.mean([r["lang"] == r["lang_pred"] for r in found]) > 0.95
+    asked = spark.createDataFrame([(1, rare[705:1100])], "doc_id long, text string")
+    assert langid.predict(asked, learned).first()["lang_pred"] == "w"
+
+
 @pytest.mark.parametrize("classes", [SPACED, PUNCTUATED])
 def test_word_hashes_follow_the_words(classes):
     import pyarrow as pa
