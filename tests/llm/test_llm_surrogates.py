@@ -88,3 +88,22 @@ def test_pattern_of_all_agrees_with_its_parts(spark):
     for row in frame.select(F.size(F.regexp_extract_all("text", F.lit(surrogates.ANY), F.lit(0))).alias("n"),
                             sum(parts).alias("m")).collect():
         assert row["n"] <= row["m"]
+
+
+def test_nothing_is_found_by_a_part_alone(spark):
+    """Gate and common pattern find what each pattern finds, whatever stands before it and without other signs."""
+    pem = "-----BEGIN PRIVATE KEY-----\nabc\n-----END PRIVATE KEY-----"
+    samples = [pem, "sk-abcdefghijklmnopqrstuvwx", "xoxb-abcdefghijkl", "ghp_" + "abcdefghij" * 3, "AKIA" + "ABCD" * 4,
+               "ASIA" + "ABCD" * 4, "AIza" + "abcdefghij" * 3, "eyJabcdefghi.abcdefghi.abcdef", "ab:cd:ef:ab:cd:ef:ab:cd",
+               "password=abcdef1", "ann@mail.example.com", "GB29NWBK60161331926819", "28.125.121.88", "4337459121670933",
+               "123-45-6789", "+14155550101", "(415) 555-0101", "415-555-0101", "Anna Smith"]
+    befores = ["", "my key is ", "密钥", "ключ", "é", "a", "7", "_", "-", "("]
+    rows = [(i, b + s) for i, (b, s) in enumerate((b, s) for b in befores for s in samples)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    alone = [F.col("text").rlike(p) for _, p in surrogates.PATTERNS]
+    expected = {r["doc_id"]: r["found"] for r in frame.select("doc_id", F.greatest(*alone).alias("found")).collect()}
+    got = {r["doc_id"]: r for r in replace_entities(frame).collect()}
+    for i, text in rows:
+        assert (got[i]["pii_count"] > 0) == expected[i], text
+    assert all(got[i]["pii_count"] == 1 for i in range(2 * len(samples)))
+    assert all(got[rows.index((i, t))]["text"] != t for i, t in rows if t in ("密钥28.125.121.88", "ключ+14155550101", "a" + pem))

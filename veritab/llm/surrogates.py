@@ -46,10 +46,14 @@ PATTERNS = (
               r"|(?<![\w.+-])[0-9]{3}([.-])[0-9]{3}\1[0-9]{4}(?![\w-])"),
     ("person", rf"(?=\p{{Lu}})(?<![\p{{L}}\p{{N}}])(?:(?:{_TITLE})\.? {_NAME}(?: {_NAME})?|(?:{_GIVEN}) {_NAME})"),
 )
-#: one pattern that finds all; its back-reference is spelled out because the parts lose their own groups
-ANY = r"(?<![\p{L}\p{N}])(?:" + "|".join(f"(?:{p})" for _, p in PATTERNS).replace(
+#: one pattern that finds all; its back-reference is spelled out because the parts lose their own groups. No part but the
+#: first begins right after an ASCII letter or digit, which is looked at first; beyond that each keeps its own boundary
+ANY = rf"(?:{PATTERNS[0][1]})|(?<![A-Za-z0-9])(?:" + "|".join(f"(?:{p})" for _, p in PATTERNS[1:]).replace(
     r"([.-])[0-9]{3}\1[0-9]{4}", r"(?:\.[0-9]{3}\.|-[0-9]{3}-)[0-9]{4}") + ")"
 PERSON = PATTERNS[-1][1]
+#: what every match of a pattern but a person's holds: a digit, an at sign, the head of a key or token, a group of hex letters
+#: between colons
+SIGNS = r"[0-9@]|-----BEGIN|eyJ|AKIA|ASIA|gh[pousr]_|xox[abprs]-|sk-|AIza|:[A-Fa-f]{1,4}:"
 
 #: fixed values: alphabets whose letters stand in for each other
 ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "абвгдежзиклмнопрстуфхцчшщэюя",
@@ -224,8 +228,8 @@ def replace_entities(docs: DataFrame, key: str = "surrogates-1", text_col: str =
     columns = [c for c in docs.columns if c not in ("pii_count", "pii_kinds")]
     docs = docs.select(*[F.col(f"`{c}`") for c in columns])
     text = F.col(text_col).cast("string")
-    # cheap signs first: all but persons hold a digit, an at sign or the head of a key
-    marked = F.coalesce((text.rlike("[0-9@]") | text.contains("-----BEGIN") | text.rlike(PERSON)) & text.rlike(ANY), F.lit(False))
+    # cheap signs first
+    marked = F.coalesce((text.rlike(SIGNS) | text.rlike(PERSON)) & text.rlike(ANY), F.lit(False))
     clean = docs.where(~marked).withColumns({"pii_count": F.lit(0), "pii_kinds": F.array().cast("array<string>")})
     dirty = docs.where(marked).withColumn("_digest", F.sha2(text, 256))
     texts = dirty.groupBy("_digest").agg(F.first(text).alias("_text"))
