@@ -107,3 +107,17 @@ def test_nothing_is_found_by_a_part_alone(spark):
         assert (got[i]["pii_count"] > 0) == expected[i], text
     assert all(got[i]["pii_count"] == 1 for i in range(2 * len(samples)))
     assert all(got[rows.index((i, t))]["text"] != t for i, t in rows if t in ("密钥28.125.121.88", "ключ+14155550101", "a" + pem))
+
+
+def test_spellings_of_one_entity_agree(spark):
+    rows = [(1, "GB29 NWBK 6016 1331 9268 19"), (2, "GB29NWBK60161331926819"),
+            (3, "+1 415 555 0101"), (4, "+14155550101"), (5, "+1 (415) 555-0101"), (6, "+1415 555 0101"),
+            (7, "+49 30 1234567"), (8, "+49301234567"), (9, "+420 601 234 567"), (10, "+420601234567"),
+            (11, "+64 21 123 456"), (12, "642-112-3456")]
+    got = replaced(spark, rows)
+    plain = {i: re.sub(r"[^A-Z0-9+]", "", r["text"]) for i, r in got.items()}
+    for group, head in (((1, 2), "GB"), ((3, 4, 5, 6), "+1"), ((7, 8), "+49"), ((9, 10), "+420")):
+        assert len({plain[i] for i in group}) == 1 and plain[group[0]].startswith(head)
+        assert plain[group[0]] != re.sub(r"[^A-Z0-9+]", "", dict(rows)[group[0]])
+    assert all(shape(got[i]["text"]) == shape(t) for i, t in rows)
+    assert plain[11].startswith("+64") and plain[11].lstrip("+") != plain[12]

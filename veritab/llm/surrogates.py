@@ -66,6 +66,8 @@ SYLLABLES = {
                  ("ко", "юк", "ян", "их")),
 }
 MOST_ATTEMPTS = 40
+#: fixed values: calling codes of one and two digits; all others have three
+CALLING_CODES = r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
 
 
 def _stream(key: str, kind: Column, norm: Column, attempt: Column, chars: Column) -> Column:
@@ -127,8 +129,9 @@ def _luhn(digits: Column) -> Column:
 
 
 def normal_form(kind: Column, form: Column) -> Column:
-    """What makes two spellings the same entity: digits of numbers, lower case of names and addresses."""
-    return F.when(kind.isin("card", "ssn", "phone"), F.regexp_replace(form, "[^0-9]", "")).when(
+    """What makes two spellings the same entity: digits of numbers (and a phone's plus), lower case of names and addresses."""
+    return F.when(kind.isin("card", "ssn"), F.regexp_replace(form, "[^0-9]", "")).when(
+        kind == "phone", F.regexp_replace(form, "[^0-9+]", "")).when(
         kind.isin("email", "ip6", "given_f", "given_m", "given", "family"), F.lower(form)).when(
         kind == "iban", F.regexp_replace(form, " ", "")).otherwise(form)
 
@@ -136,11 +139,13 @@ def normal_form(kind: Column, form: Column) -> Column:
 def surrogate(key: str, kind: Column, form: Column, norm: Column, attempt: Column) -> Column:
     """The stand-in for ``form``, a spelling of the piece ``norm``; other spellings of it get the same letters and digits."""
     def made(s):
-        digits = lambda lead: let(_replaced(norm, s, lead), lambda d: F.array_join(F.transform(
-            F.split(form, ""), lambda c, i: F.when(c.rlike("[0-9]"), F.substr(
-                d, F.length(F.regexp_replace(F.substr(form, F.lit(1), i + 1), "[^0-9]", "")), F.lit(1))).otherwise(c)), ""))
+        # drawn on the norm, whose characters are those of the form that ``of`` names, and laid into the form
+        laid = lambda of, lead: let(_replaced(norm, s, lead), lambda d: F.array_join(F.transform(
+            F.split(form, ""), lambda c, i: F.when(c.rlike(f"[{of}]"), F.substr(
+                d, F.length(F.regexp_replace(F.substr(form, F.lit(1), i + 1), f"[^{of}]", "")), F.lit(1))).otherwise(c)), ""))
         # a number keeps its country code or issuer digit; a valid card stays valid by its last digit
-        lead = F.when(kind == "phone", F.length(F.regexp_extract(form, r"^\+([0-9]*)(?=[^0-9])", 1))).otherwise(F.lit(0))
+        lead = F.when(norm.startswith("+"), 1 + F.coalesce(F.nullif(F.length(F.regexp_extract(
+            norm, rf"^\+({CALLING_CODES})", 1)), F.lit(0)), F.lit(3))).otherwise(F.lit(0))
         card = let(_replaced(norm, s, F.lit(1)), lambda d: let(F.concat(F.substr(d, F.lit(1), F.length(d) - 1), F.lit("0")), lambda z:
                    F.concat(F.substr(z, F.lit(1), F.length(z) - 1), ((10 - _luhn(z)) % 10).cast("string"))))
         card = let(card, lambda d: F.array_join(F.transform(F.split(form, ""), lambda c, i: F.when(
@@ -155,8 +160,9 @@ def surrogate(key: str, kind: Column, form: Column, norm: Column, attempt: Colum
         local = F.regexp_extract(F.when(attempt == 0, form).otherwise(F.concat(F.lit("a") , form)), "^(.*)@", 1)
         return (F.when(kind.isin("given_f", "given_m", "given", "family"), _name(form, s, kind, attempt))
                 .when(kind == "email", F.concat(_replaced(local, s), F.lit("@"), host))
-                .when(kind == "card", card).when(kind.isin("ssn", "phone"), digits(lead)).when(kind == "ip4", octets)
-                .when(kind == "ip6", _replaced_hex(form, s)).when(kind == "iban", _replaced(form, s, F.lit(2)))
+                .when(kind == "card", card).when(kind == "ssn", laid("0-9", F.lit(0)))
+                .when(kind == "phone", laid("0-9+", lead)).when(kind == "ip4", octets)
+                .when(kind == "ip6", _replaced_hex(form, s)).when(kind == "iban", laid("A-Z0-9", F.lit(2)))
                 .otherwise(_replaced(form, s, F.when(form.rlike("^(?:AKIA|ASIA|gh[pousr]_)"), F.lit(4)).otherwise(F.lit(0)))))
 
     return let(_stream(key, kind, norm, attempt, F.length(form) + 32), made)
