@@ -121,3 +121,18 @@ def test_spellings_of_one_entity_agree(spark):
         assert plain[group[0]] != re.sub(r"[^A-Z0-9+]", "", dict(rows)[group[0]])
     assert all(shape(got[i]["text"]) == shape(t) for i, t in rows)
     assert plain[11].startswith("+64") and plain[11].lstrip("+") != plain[12]
+
+
+def test_kinds_with_few_surrogates_settle(spark):
+    # ten secrets that fill the whole space of their form
+    rows = [(i, f"pwd=!!!!!!{i}") for i in range(10)]
+    got = {r["text"] for r in replaced(spark, rows).values()}
+    assert len(got) == 10 and not got & {t for _, t in rows}
+    assert all(t.startswith("pwd=!!!!!!") for t in got)
+
+
+def test_short_numbers_are_no_phones(spark):
+    rows = [(i, f"{t} points") for i, t in enumerate(["+250", "+1 50", "+100", "+12 345", "+1 50 20", "+1 50 2000x"])]
+    got = replaced(spark, rows)
+    assert all(got[i]["text"] == t and got[i]["pii_count"] == 0 for i, t in rows)
+    assert replaced(spark, [(1, "+49 30 1234")])[1]["pii_kinds"] == ["phone"]

@@ -29,6 +29,8 @@ OTHER_TITLES = ("Dr", "Prof")
 _TITLE = "|".join(FEMALE_TITLES + MALE_TITLES + OTHER_TITLES)
 _GIVEN = "|".join(FEMALE + MALE)
 _NAME = r"\p{Lu}[\p{Ll}'’-]+(?:-\p{Lu}\p{Ll}+)?"
+#: what ends here holds seven digits; spelled out because a look-behind takes no repeated group
+_SEVEN = "(?<=" + "[0-9][ .()-]{0,3}" * 6 + r"[0-9]\)?)"
 #: (type, pattern) in order of precedence
 PATTERNS = (
     ("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[\s\S]*?-----END [A-Z ]{0,20}PRIVATE KEY-----"),
@@ -42,7 +44,7 @@ PATTERNS = (
     ("ip4", r"(?<![\w.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?!\.?[0-9])"),
     ("card", r"(?<![\w.])[3-6][0-9]{3}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![\w])|(?<![\w.])3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5}(?!\w)"),
     ("ssn", r"(?<![\w.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"),
-    ("phone", r"(?<![\w+.])\+[1-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{1,4}\)?){2,5}(?![\w])|(?<![\w(])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?!\w)"
+    ("phone", r"(?<![\w+.])\+[1-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{1,4}\)?){2,5}(?![\w])" + _SEVEN + r"|(?<![\w(])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?!\w)"
               r"|(?<![\w.+-])[0-9]{3}([.-])[0-9]{3}\1[0-9]{4}(?![\w-])"),
     ("person", rf"(?=\p{{Lu}})(?<![\p{{L}}\p{{N}}])(?:(?:{_TITLE})\.? {_NAME}(?: {_NAME})?|(?:{_GIVEN}) {_NAME})"),
 )
@@ -65,6 +67,9 @@ SYLLABLES = {
     "cyrillic": ("бвгдзклмнпрст", "аеиоу", ("а", "ия", "ина", "ела"), ("ан", "ий", "ор", "ей"), ("ен", "ин", "ол", "эй"),
                  ("ко", "юк", "ян", "их")),
 }
+#: from this attempt on every further one makes surrogates longer by a character, so that no set of values can exhaust them
+LONGER_FROM = 8
+#: never met by the kinds that grow; addresses of fixed length and cards have more than a thousand million surrogates
 MOST_ATTEMPTS = 40
 #: fixed values: calling codes of one and two digits; all others have three
 CALLING_CODES = r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
@@ -157,13 +162,17 @@ def surrogate(key: str, kind: Column, form: Column, norm: Column, attempt: Colum
         host = let(_stream(key, F.lit("domain"), domain, F.lit(0), F.lit(64)), lambda t: F.concat(
             _replaced(F.regexp_replace(F.regexp_extract(domain, r"^[^.]+", 0), "^.{0,3}$", "mail"), t), F.lit(".example."),
             F.regexp_extract(domain, r"([^.]+)$", 1)))
-        local = F.regexp_extract(F.when(attempt == 0, form).otherwise(F.concat(F.lit("a") , form)), "^(.*)@", 1)
-        return (F.when(kind.isin("given_f", "given_m", "given", "family"), _name(form, s, kind, attempt))
+        longer = F.greatest(attempt - (LONGER_FROM - 1), F.lit(0))
+        local = F.regexp_extract(F.when(attempt == 0, form).otherwise(F.concat(F.repeat(F.lit("a"), longer + 1), form)), "^(.*)@", 1)
+        # places by the norm, as spellings differ in length
+        more = F.when(kind.isin("ssn", "phone", "iban", "secret", "token", "private_key") & (longer > 0), F.array_join(F.transform(
+            F.sequence(F.lit(1), longer), lambda j: (_byte(s, F.length(norm) + j - 1) % 10).cast("string")), "")).otherwise(F.lit(""))
+        return F.concat(F.when(kind.isin("given_f", "given_m", "given", "family"), _name(form, s, kind, attempt))
                 .when(kind == "email", F.concat(_replaced(local, s), F.lit("@"), host))
                 .when(kind == "card", card).when(kind == "ssn", laid("0-9", F.lit(0)))
                 .when(kind == "phone", laid("0-9+", lead)).when(kind == "ip4", octets)
                 .when(kind == "ip6", _replaced_hex(form, s)).when(kind == "iban", laid("A-Z0-9", F.lit(2)))
-                .otherwise(_replaced(form, s, F.when(form.rlike("^(?:AKIA|ASIA|gh[pousr]_)"), F.lit(4)).otherwise(F.lit(0)))))
+                .otherwise(_replaced(form, s, F.when(form.rlike("^(?:AKIA|ASIA|gh[pousr]_)"), F.lit(4)).otherwise(F.lit(0)))), more)
 
     return let(_stream(key, kind, norm, attempt, F.length(form) + 32), made)
 
@@ -204,7 +213,8 @@ def assign(pieces: DataFrame, key: str) -> DataFrame:
     """``kind``, ``norm`` and the ``attempt`` whose surrogate is neither another piece's nor real data.
 
     All pieces start at attempt 0; in every round those whose surrogate is taken move on, of several with one
-    surrogate all but the first in order. A handful of rounds settles all, for later attempts draw from more letters.
+    surrogate all but the first in order. A handful of rounds settles all, for later attempts draw from more letters
+    and those from ``LONGER_FROM`` on from a space that grows with each.
     """
     distinct = pieces.groupBy("kind", "norm").agg(F.min("form").alias("form"))
     made = lambda df: df.withColumn("made", normal_form(F.col("kind"), surrogate(
