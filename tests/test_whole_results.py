@@ -129,3 +129,17 @@ def test_permutations_are_independent_and_whole(spark):
     fitted = tr.fit_classifier(df, "label", ["x", "z"], [], "logistic_regression", tr.DEFAULT_PARAMS["logistic_regression"])
     got = {r["feature"]: (r["importance_mean"], r["importance_std"]) for r in tr.permutation_importance(fitted, df, "label", "id", ["x", "z"], 6).collect()}
     assert got["x"][0] > 0.3 and got["x"][1] > 0 and abs(got["z"][0]) < 0.1
+
+
+def test_registered_search_draws_ten_of_each_space(spark, monkeypatch):
+    class Asked(Exception):
+        pass
+
+    def cross_validate(train, label, key_cols, numeric, categorical, draws, *rest, **options):
+        raise Asked({m: len({str(sorted(p.items(), key=str)) for p in drawn}) for m, drawn in draws.items()})
+
+    monkeypatch.setattr(tr, "cross_validate", cross_validate)
+    with pytest.raises(Asked) as asked:
+        registry.queries()["m10_fraud_model_search"](spark, SMALL)
+    spaces = {m: len(tr.sample_params(m, 10 ** 6)) for m in tr.SEARCH_SPACE}
+    assert asked.value.args[0] == {m: min(10, n) for m, n in spaces.items()}
