@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritab.llm import bpe, jaccard, langid, licences, mixing, resampling, rules, sharding, surrogates, topk
+from veritab.llm import bpe, infill, jaccard, langid, licences, mixing, resampling, rules, sharding, surrogates, topk
 from veritab.llm.oracles import SQL  # noqa: F401
 
 SHARDS = 40
@@ -92,5 +92,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = infill.restore(infill.transform(documents(spark, sf_dir)))
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                       F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
