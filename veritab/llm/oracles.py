@@ -188,3 +188,38 @@ SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p)::B
        sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
               ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256
 FROM parts"""
+
+
+SQL["op12_phrase_collocations"] = r"""
+WITH pieces AS MATERIALIZED (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_extract_all(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^.,;:!?\x0A-\x0D]+')) AS piece FROM documents)),
+starts AS MATERIALIZED (
+  SELECT lang, unnest(list_transform(range(1, len(w) + 1), lambda i: w[i:i + 3])) AS w FROM pieces),
+counts AS MATERIALIZED (
+  SELECT lang, phrase, m, count(*)::HUGEINT AS f FROM (
+    SELECT lang, w[1] AS phrase, 1 AS m FROM starts
+    UNION ALL SELECT lang, array_to_string(w[1:2], ' '), 2 FROM starts WHERE len(w) >= 2
+    UNION ALL SELECT lang, array_to_string(w[1:3], ' '), 3 FROM starts WHERE len(w) >= 3
+    UNION ALL SELECT lang, array_to_string(w, ' '), 4 FROM starts WHERE len(w) = 4)
+  GROUP BY lang, phrase, m),
+totals AS (SELECT lang, sum(f) AS n FROM counts WHERE m = 1 GROUP BY lang),
+candidates AS MATERIALIZED (SELECT lang, phrase, string_split(phrase, ' ') AS w, m, f AS a FROM counts WHERE m > 1 AND f >= 30),
+cut AS (
+  SELECT c.*, unnest(range(1, m)) AS k FROM candidates c),
+asked AS (SELECT *, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail FROM cut),
+scored AS (
+  SELECT q.lang, q.phrase, q.a, q.k, x.f AS l, y.f AS r, (2000000 * q.a) // (x.f + y.f) AS score FROM asked q
+  JOIN counts x ON x.lang = q.lang AND x.phrase = q.head JOIN counts y ON y.lang = q.lang AND y.phrase = q.tail),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+held AS (
+  SELECT lang, a, unnest(CASE WHEN m = 3 THEN [w[1:2], w[2:3]] ELSE [w[1:2], w[2:3], w[3:4], w[1:3], w[2:4]] END) AS p
+  FROM candidates WHERE m > 2),
+most AS (SELECT lang, array_to_string(p, ' ') AS phrase, max(a) AS most FROM held GROUP BY ALL),
+kept AS (
+  SELECT o.* FROM lowest o LEFT JOIN most p ON p.lang = o.lang AND p.phrase = o.phrase
+  WHERE p.most IS NULL OR 100 * p.most < 80 * o.a)
+SELECT k.lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept) k
+JOIN totals t ON t.lang = k.lang WHERE rank <= 2000"""

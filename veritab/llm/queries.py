@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritab.llm import bpe, infill, jaccard, langid, licences, mixing, resampling, rules, sharding, surrogates, topk
+from veritab.llm import bpe, collocations, infill, jaccard, langid, licences, mixing, resampling, rules, sharding, surrogates, topk
 from veritab.llm.oracles import SQL  # noqa: F401
 
 SHARDS = 40
@@ -99,5 +99,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"))
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collocations.collocations(documents(spark, sf_dir))
+    return found.withColumn("rank", F.col("rank").cast("long"))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
