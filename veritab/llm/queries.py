@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritab.llm import bpe, collocations, infill, jaccard, langid, licences, mixing, resampling, rules, sharding, surrogates, topk
+from veritab.llm import bpe, collocations, infill, jaccard, langid, licences, mixing, resampling, rules, sharding, surrogates, topk, toxicity
 from veritab.llm.oracles import SQL  # noqa: F401
 
 SHARDS = 40
@@ -104,5 +104,11 @@ def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("rank", F.col("rank").cast("long"))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
