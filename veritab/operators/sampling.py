@@ -1,4 +1,4 @@
-"""Class-imbalance handling on DataFrames.
+"""Class-imbalance handling on DataFrames.
 
 Random oversampling draws, for every missing copy ``j`` of a class, the row
 whose in-class rank is ``md5(seed|class|j) mod n_c``: sampling with
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from veritab.operators.prefix import null_safe_join
 from veritab.operators.splits import class_counts, ranked_by_class
+from veritab.session import materialize
 
 
 def _hex_to_long(hex_col, n_chars: int = 12):
@@ -61,3 +62,39 @@ def balanced_class_weights(df: DataFrame, label_col: str, weight_col: str = "cla
 def positive_weight(df: DataFrame, label_col: str, scale_pos_weight: float, weight_col: str = "class_weight"):
     """D10 (boosting form): positives weigh ``scale_pos_weight``."""
     return df.withColumn(weight_col, F.when(F.col(label_col) == 1, F.lit(float(scale_pos_weight))).otherwise(1.0))
+
+
+def smote(df: DataFrame, label_col: str, key_col: str, vec_col: str, k: int = 3, seed: int = 42) -> DataFrame:
+    """(key, copy_id, neighbour, u, label, vec) of every row and of the synthetic rows that fill each class up.
+
+    Copy j of a class starts from the row whose in-class rank is ``md5(seed|smote|class|j) mod n_c``, goes towards one of
+    its k nearest rows of the class and stops at a share u of the way, both by further digits of the same hash. The
+    neighbours are exact (``operators.neighbours``). Rows of the input have ``copy_id`` 0. A class of one row has no
+    neighbours; its copies are the row itself.
+    """
+    from veritab.operators.neighbours import nearest
+
+    spark = df.sparkSession
+    base = materialize(df.select(F.col(key_col).alias("key"), F.col(label_col).alias("label"), F.col(vec_col).alias("vec")), "smote_base")
+    counts = [(r["label"], r["_class_n"]) for r in class_counts(base, "label").where("label IS NOT NULL").collect()]
+    most = max((n for _, n in counts), default=0)
+    nothing = {"copy_id": F.lit(0).cast("long"), "neighbour": F.lit(None).cast(base.schema["key"].dataType),
+               "u": F.lit(None).cast("double")}
+    out = base.withColumns(nothing).select("key", "copy_id", "neighbour", "u", "label", "vec")
+    for label, n in counts:
+        if n == most:
+            continue
+        minority = ranked_by_class(base.where(F.col("label") == F.lit(label)), "label", ["key"], seed).drop("_h")
+        minority = materialize(minority, "smote_minority")
+        draw = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit("smote"), F.lit(str(label)), F.col("copy_id").cast("string")))
+        width = max(1, min(k, n - 1))
+        copies = spark.range(1, most - n + 1).withColumnRenamed("id", "copy_id").select(
+            "copy_id", F.pmod(_hex_to_long(draw), F.lit(n)).alias("_rank"),
+            F.pmod(F.conv(F.substring(draw, 13, 8), 16, 10).cast("long"), F.lit(width)).cast("int").alias("place"),
+            (F.conv(F.substring(draw, 21, 12), 16, 10).cast("long") / F.lit(float(1 << 48))).alias("u"))
+        near = nearest(minority, k, "key", "vec", seed).join(minority.select(F.col("key").alias("neighbour"), F.col("vec").alias("_to")), "neighbour")
+        drawn = copies.join(minority, "_rank").join(near.drop("d2"), ["key", "place"], "left")
+        moved = F.when(F.col("_to").isNull(), F.col("vec")).otherwise(
+            F.zip_with("vec", "_to", lambda a, b: a + F.col("u") * (b - a)))
+        out = out.unionByName(drawn.select("key", "copy_id", "neighbour", "u", "label", moved.alias("vec")))
+    return out
