@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from veritab.functions import features as ft
@@ -126,6 +127,56 @@ def d07_random_oversample(spark, sf_dir):
     return sampling.random_oversample(t, "label", ["transaction_id"], 42).select("transaction_id", "label", "copy_id")
 
 
+def _smote_sql() -> str:
+    scaled = []
+    for c in CHURN_NUMERIC:
+        x = f"CAST({c} AS DOUBLE)"
+        med = f"(SELECT median({x}) FROM churn_train)"
+        mean = f"(SELECT avg(coalesce({x}, {med})) FROM churn_train)"
+        std = f"(SELECT CASE WHEN stddev_pop(coalesce({x}, {med})) = 0 THEN 1.0 ELSE stddev_pop(coalesce({x}, {med})) END FROM churn_train)"
+        scaled.append(f"(coalesce({x}, {med}) - {mean}) / {std}")
+    known = [f"coalesce(CAST({c} AS VARCHAR), (SELECT CAST({c} AS VARCHAR) FROM churn_train WHERE {c} IS NOT NULL GROUP BY {c} "
+             f"ORDER BY count(*) DESC, {c} LIMIT 1))" for c in CHURN_CATEGORICAL]
+    digest = "md5('42|smote|' || CAST(label AS VARCHAR) || '|' || CAST(j AS VARCHAR))"
+    part = lambda at, n: f"CAST(('0x' || substr({digest}, {at}, {n})) AS BIGINT)"
+    return f"""
+WITH z AS MATERIALIZED (
+  SELECT customerID, label, [{", ".join(scaled)}] AS z, [{", ".join(known)}] AS cat,
+         row_number() OVER (PARTITION BY label ORDER BY md5('42|' || customerID)) - 1 AS rk, count(*) OVER (PARTITION BY label) AS n
+  FROM churn_train WHERE label IS NOT NULL),
+few AS MATERIALIZED (SELECT * FROM z WHERE n < (SELECT max(n) FROM z)),
+near AS (
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY d2, neighbour) - 1 AS place FROM (
+    SELECT a.customerID AS key, b.customerID AS neighbour, b.z AS bz, round(
+             list_sum(list_transform(range(1, len(a.z) + 1), lambda i: (a.z[i] - b.z[i]) * (a.z[i] - b.z[i])))
+             + 2 * len(list_filter(range(1, len(a.cat) + 1), lambda i: a.cat[i] <> b.cat[i])), 9) AS d2
+    FROM few a JOIN few b ON a.label = b.label AND a.customerID <> b.customerID)),
+copies AS (
+  SELECT label, n, j, {part(1, 12)} % n AS rk, {part(13, 8)} % least(3, n - 1) AS place, {part(21, 12)} / 281474976710656.0 AS u
+  FROM (SELECT label, n, unnest(range(1, (SELECT max(n) FROM z) - n + 1)) AS j FROM (SELECT DISTINCT label, n FROM few)))
+SELECT f.customerID, CAST(c.j AS BIGINT) AS copy_id, c.label, x.neighbour, {r6("c.u")} AS u, {r6("x.d2")} AS d2,
+       {r6("f.z[1] + c.u * (x.bz[1] - f.z[1])")} AS first_feature,
+       {r6("list_sum(f.z) + c.u * (list_sum(x.bz) - list_sum(f.z)) + len(f.cat)")} AS feature_sum
+FROM copies c JOIN few f ON f.label = c.label AND f.rk = c.rk JOIN near x ON x.key = f.customerID AND x.place = c.place"""
+
+
+@register("d08_smote", with_ctes(_smote_sql(), {"churn_split": SQL_CHURN_SPLIT,
+                                                "churn_train": "SELECT * FROM churn_split WHERE split = 'train'"}))
+def d08_smote(spark, sf_dir):
+    """The synthetic rows of the churn training part in its preprocessed space, with the neighbour each goes towards."""
+    train = churn_split(spark, sf_dir).where("split = 'train'")
+    prep = fit_prep(train, CHURN_NUMERIC, CHURN_CATEGORICAL)
+    feats = prep.transform(train, keep=["customerID", "label"], vector_col="features").select(
+        "customerID", "label", vector_to_array("features").alias("features"))
+    made = sampling.smote(feats, "label", "customerID", "features", 3, 42).where("copy_id > 0").withColumnRenamed("key", "customerID")
+    start = feats.select("customerID", F.col("features").alias("_from"))
+    end = feats.select(F.col("customerID").alias("neighbour"), F.col("features").alias("_to"))
+    d2 = F.aggregate(F.zip_with("_from", "_to", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, x: acc + x)
+    total = F.aggregate("vec", F.lit(0.0), lambda acc, x: acc + x)
+    return rounded(made.join(start, "customerID").join(end, "neighbour").select(
+        "customerID", "copy_id", "label", "neighbour", "u", d2.alias("d2"), F.col("vec")[0].alias("first_feature"), total.alias("feature_sum")))
+
+
 @register("d10_class_weights", with_ctes(f"""
 SELECT label, {r6('(SELECT count(*) FROM transactions) / (2.0 * count(*))')} AS class_weight FROM transactions
 GROUP BY label"""))
