@@ -111,3 +111,18 @@ def test_awkward_and_empty_tables(spark):
     assert found(frame, least=3) == expected != []
     assert found(frame.select("*", *[F.lit("clash").alias(c) for c in names]), least=3) == expected
     assert found(frame.limit(0)) == []
+
+
+def test_long_texts_are_cut_between_pieces(monkeypatch):
+    import pyarrow as pa
+
+    texts = [("ab c, de\nf " * 40), "no end of a piece " * 30, None, "x y. " * 100, "q"]
+    batch = pa.record_batch([pa.array(["en", "de", "en", "en", "fr"]), pa.array(texts)], ["lang", "text"])
+    def pieces(size):
+        monkeypatch.setattr(collocations, "CHUNK_BYTES", size)
+        out = Counter()
+        for _, langs, codes, words in collocations._chunks([batch], 1):
+            for code, suffix in zip(codes, collocations._followers(words).T.tolist()):
+                out[langs[code], tuple(suffix)] += 1
+        return out
+    assert pieces(50) == pieces(7) == pieces(1 << 20)

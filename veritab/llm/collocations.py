@@ -35,8 +35,8 @@ TASK_SUFFIXES = 1 << 19
 LOADS = 1 << 16
 #: frequent words are told from others by so many bits, of which some may be set by two words
 WORD_BITS = 1 << 20
-#: bytes of text taken at a time
-CHUNK_BYTES = 8_000_000
+#: bytes of text taken at a time; a longer text is cut between pieces
+CHUNK_BYTES = 2_000_000
 #: partitions of fewer pointers are counted without further pivots
 SMALL = 48
 
@@ -84,22 +84,41 @@ class _Words:
         self.ends_piece[:-1] = (self.texts[1:] != self.texts[:-1]) | (breaks[self.starts[1:]] != breaks[self.starts[:-1]])
 
 
+def _cut_between_pieces(data: np.ndarray, offsets: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and languages with texts longer than a chunk taken as several, cut behind ends of pieces."""
+    cuts, owners = [], []
+    for i in np.flatnonzero(np.diff(offsets) > CHUNK_BYTES):
+        at = int(offsets[i])
+        while int(offsets[i + 1]) - at > CHUNK_BYTES:
+            window = at + CHUNK_BYTES
+            ends = np.flatnonzero(_KIND[data[window:min(window + CHUNK_BYTES, int(offsets[i + 1]))]] == 1)
+            if len(ends):
+                cuts.append(window + int(ends[0]) + 1)
+                owners.append(codes[i])
+            at = cuts[-1] if len(ends) else window
+    if not cuts:
+        return offsets, codes
+    whole = np.append(offsets[:-1], cuts)
+    order = np.argsort(whole, kind="stable")
+    return np.append(whole[order], offsets[-1]), np.append(codes, owners)[order]
+
+
 def _chunks(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[tuple[np.ndarray, list, np.ndarray, _Words]]:
-    """Bytes, languages, language of each word (a number) and words, of about ``CHUNK_BYTES`` of whole texts."""
+    """Bytes, languages, language of each word (a number) and words, of about ``CHUNK_BYTES`` of texts."""
     for batch in batches:
         texts = batch.column(1).cast(pa.large_binary()).fill_null(b"")
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
         data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
         coded = batch.column(0).dictionary_encode()
-        langs, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+        offsets, codes = _cut_between_pieces(data, offsets, coded.indices.to_numpy(zero_copy_only=False))
         first = 0
-        while first < len(texts):
+        while first < len(codes):
             last = int(np.searchsorted(offsets, offsets[first] + CHUNK_BYTES, "right")) - 1
-            last = min(max(first + 1, last), len(texts))
+            last = min(max(first + 1, last), len(codes))
             part = data[offsets[first]:offsets[last]]
             if len(part):
                 words = _Words(part, offsets[first:last + 1] - offsets[first], seed)
-                yield part, langs, codes[first:last][words.texts], words
+                yield part, coded.dictionary.to_pylist(), codes[first:last][words.texts], words
             first = last
 
 
