@@ -9,7 +9,7 @@ from veritab.operators import evaluation as ev, prep, profile, quality, sampling
 from veritab.operators.prefix import global_running_sums
 from veritab.operators.recsys import hybrid as hy
 from veritab.operators.recsys.similarity import blocked_join
-from veritab.plans import registry
+from veritab.plans import registry, search
 from veritab.plans import training as tr
 from veritab.sources import fixtures as fx, tables
 
@@ -104,8 +104,10 @@ def test_classifier_chain(spark, tmp_path):
     rnd = random.Random(2)
     rows = [(f"t{i}", rnd.gauss(0, 1), rnd.choice("ab"), i % 5 == 0) for i in range(300)]
     df = spark.createDataFrame([(k, x + 3 * y, c, int(y)) for k, x, c, y in rows], "id string, x double, c string, label int")
-    fitted, table = tr.search_and_refit(df, "label", ["id"], ["x"], ["c"], n_iter=1, folds=2, models=("logistic_regression",))
-    assert table.count() == 2 and table.where("cv_score > 0.5").count() == 2
+    table = tr.compare_models(search.search(df, "label", ["id"], ["x"], ["c"], {"logistic_regression": search.FRAUD_SPACE["logistic_regression"]},
+                                            n_iter=2, folds=2))
+    assert table.count() == 3 and table.where("cv_score > 0.5").count() == 3
+    fitted = search.refit(df, "label", ["id"], ["x"], ["c"], table.first())
     fitted = tr.with_tuned_threshold(fitted, df, "label", 0.8)
     fitted.save(spark, f"file://{tmp_path}/clf")
     loaded = tr.FittedClassifier.load(spark, f"file://{tmp_path}/clf")
@@ -129,17 +131,3 @@ def test_permutations_are_independent_and_whole(spark):
     fitted = tr.fit_classifier(df, "label", ["x", "z"], [], "logistic_regression", tr.DEFAULT_PARAMS["logistic_regression"])
     got = {r["feature"]: (r["importance_mean"], r["importance_std"]) for r in tr.permutation_importance(fitted, df, "label", "id", ["x", "z"], 6).collect()}
     assert got["x"][0] > 0.3 and got["x"][1] > 0 and abs(got["z"][0]) < 0.1
-
-
-def test_registered_search_draws_ten_of_each_space(spark, monkeypatch):
-    class Asked(Exception):
-        pass
-
-    def cross_validate(train, label, key_cols, numeric, categorical, draws, *rest, **options):
-        raise Asked({m: len({str(sorted(p.items(), key=str)) for p in drawn}) for m, drawn in draws.items()})
-
-    monkeypatch.setattr(tr, "cross_validate", cross_validate)
-    with pytest.raises(Asked) as asked:
-        registry.queries()["m10_fraud_model_search"](spark, SMALL)
-    spaces = {m: len(tr.sample_params(m, 10 ** 6)) for m in tr.SEARCH_SPACE}
-    assert asked.value.args[0] == {m: min(10, n) for m, n in spaces.items()}

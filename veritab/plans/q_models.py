@@ -9,6 +9,7 @@ from veritab.functions import features as ft
 from veritab.operators import evaluation as ev
 from veritab.operators import sampling, splits
 from veritab.operators.prep import fit_prep, long_features
+from veritab.plans import search
 from veritab.plans import training as tr
 from veritab.plans.oracle_sql import r6, with_ctes
 from veritab.plans.registry import register, rounded
@@ -221,17 +222,17 @@ def m07_fraud_logistic_scores(spark, sf_dir):
     return kept_promises(fitted.score(s.where("split = 'test'"), ["transaction_id", "label"]), "transaction_id")
 
 
-@register("m08_churn_forest_scores", with_ctes(f"SELECT customerID, label, {_KEPT} FROM churn_split WHERE split = 'train'", CHURN_CTES))
+@register("m08_churn_forest_scores", with_ctes(f"SELECT customerID, label, {_KEPT} FROM churn_split WHERE split = 'test'", CHURN_CTES))
 def m08_churn_forest_scores(spark, sf_dir):
-    s, fitted = _churn_fit(spark, sf_dir, "random_forest", tr.DEFAULT_PARAMS["random_forest"])
-    return kept_promises(fitted.score(s.where("split = 'train'"), ["customerID", "label"]), "customerID")
+    s, fitted = _churn_fit(spark, sf_dir, "random_forest", tr.SELECTOR)
+    return kept_promises(fitted.score(s.where("split = 'test'"), ["customerID", "label"]), "customerID")
 
 
-@register("m09_churn_gbt_scores", with_ctes(f"SELECT customerID, label, {_KEPT} FROM churn_split WHERE split = 'train'", CHURN_CTES))
+@register("m09_churn_gbt_scores", with_ctes(f"SELECT customerID, label, {_KEPT} FROM churn_split WHERE split = 'test'", CHURN_CTES))
 def m09_churn_gbt_scores(spark, sf_dir):
     """M9: gradient-boosted trees (pyspark.ml GBT in place of XGBoost)."""
-    s, fitted = _churn_fit(spark, sf_dir, "gbt", tr.DEFAULT_PARAMS["gbt"])
-    return kept_promises(fitted.score(s.where("split = 'train'"), ["customerID", "label"]), "customerID")
+    s, fitted = _churn_fit(spark, sf_dir, "gbt", {"n_estimators": 50, "max_depth": 3, "learning_rate": 0.1})
+    return kept_promises(fitted.score(s.where("split = 'test'"), ["customerID", "label"]), "customerID")
 
 
 @register("m12_default_model_comparison", with_ctes("""
@@ -251,7 +252,7 @@ SELECT CAST(12 + (SELECT count(DISTINCT location) + count(DISTINCT device) + cou
 def m13_feature_importance(spark, sf_dir):
     s = materialize(fraud_split(spark, sf_dir), "fraud_split")
     fitted = tr.fit_classifier(s.where("split = 'train'"), "label", FRAUD_NUMERIC, FRAUD_CATEGORICAL,
-                               "random_forest", tr.DEFAULT_PARAMS["random_forest"])
+                               "random_forest", tr.SELECTOR)
     return tr.feature_importance(fitted, 1000).agg(
         F.count(F.lit(1)).alias("n_features"), (F.abs(F.sum("importance") - 1) < 1e-6).alias("sum_is_one"),
         (F.min("importance") >= 0).alias("none_negative"))
@@ -261,7 +262,7 @@ def m13_feature_importance(spark, sf_dir):
 SELECT true AS half_or_more, true AS trained_on_kept_only, true AS in_range"""))
 def m06_importance_selection(spark, sf_dir):
     """M6: features of at least median importance, and a model trained on the columns they come from."""
-    s, forest = _churn_fit(spark, sf_dir, "random_forest", tr.DEFAULT_PARAMS["random_forest"])
+    s, forest = _churn_fit(spark, sf_dir, "random_forest", tr.SELECTOR)
     kept = tr.select_by_importance(forest)
     fitted = tr.fit_selected(s.where("split = 'train'"), "label", CHURN_NUMERIC, CHURN_CATEGORICAL, "logistic_regression",
                              tr.DEFAULT_PARAMS["logistic_regression"])
@@ -298,15 +299,36 @@ def m15_fraud_tuned_scoring(spark, sf_dir):
                          same.alias("same_after_load"), precise.alias("precise_enough"))
 
 
+def _searched(table, positive_share):
+    """One row per model and strategy: draws and folds compared, and whether the best draw beats a ranking by chance."""
+    counts = table.groupBy("model", "imbalance_strategy").agg(F.count_distinct("params").alias("n_draws"))
+    best = tr.compare_models(table)
+    return best.join(counts, ["model", "imbalance_strategy"]).select(
+        "model", "imbalance_strategy", "n_draws", "folds", F.col("cv_score").between(0.0, 1.0).alias("in_range"),
+        (F.col("cv_score") > positive_share).alias("better_than_chance"))
+
+
 @register("m10_fraud_model_search", with_ctes("""
-SELECT m.model, s.imbalance_strategy, true AS in_range, CAST(4 AS INTEGER) AS folds
+SELECT m.model, s.imbalance_strategy, CAST(10 AS BIGINT) AS n_draws, CAST(4 AS INTEGER) AS folds, true AS in_range, true AS better_than_chance
 FROM (SELECT unnest(['logistic_regression', 'random_forest', 'gbt']) AS model) m,
-     (SELECT unnest(['none', 'random_oversample']) AS imbalance_strategy) s"""))
+     (SELECT unnest(['none', 'random_oversample', 'smote']) AS imbalance_strategy) s"""))
 def m10_fraud_model_search(spark, sf_dir):
-    """M10 + M11 over all candidate models and strategies with a refit of the best, ten draws of each space as configured."""
+    """M10 + M11 of the fraud chain: ten draws of each space, three strategies, four folds, by average precision."""
     s = materialize(fraud_split(spark, sf_dir).where("split = 'train'").drop("split"), "fraud_train")
-    _, table = tr.search_and_refit(s, "label", ["transaction_id"], FRAUD_NUMERIC, FRAUD_CATEGORICAL, n_iter=10, folds=4)
-    return table.select("model", "imbalance_strategy", F.col("cv_score").between(0.0, 1.0).alias("in_range"), F.lit(4).alias("folds"))
+    table = materialize(search.search(s, "label", ["transaction_id"], FRAUD_NUMERIC, FRAUD_CATEGORICAL, search.FRAUD_SPACE,
+                                      n_iter=10, folds=4), "fraud_search")
+    return _searched(table, s.agg(F.avg(F.col("label").cast("double"))).scalar())
+
+
+@register("m11_churn_model_search", with_ctes("""
+SELECT m.model, 'none' AS imbalance_strategy, CAST(20 AS BIGINT) AS n_draws, CAST(5 AS INTEGER) AS folds, true AS in_range
+FROM (SELECT unnest(['logistic_regression', 'random_forest', 'gbt']) AS model) m"""))
+def m11_churn_model_search(spark, sf_dir):
+    """M10 + M11 of the churn chain: feature selection in each fold, twenty draws of each space, five folds, by F1."""
+    s = materialize(churn_split(spark, sf_dir).where("split = 'train'").drop("split"), "churn_train")
+    table = materialize(search.search(s, "label", ["customerID"], CHURN_NUMERIC, CHURN_CATEGORICAL, search.CHURN_SPACE, n_iter=20,
+                                      folds=5, strategies=("none",), metric="f1", select_features=True), "churn_search")
+    return _searched(table, F.lit(0.0)).drop("better_than_chance")
 
 
 @register("m14_permutation_importance", with_ctes(

@@ -52,6 +52,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def tell_workers(spark: SparkSession) -> None:
+    """Let Python workers find this package where it lies, for a driver that was started elsewhere.
+
+    On a cluster the package is shipped with ``--py-files`` as usual.
+    """
+    import os
+
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if home not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [home, known]))
+
+
 def materialize_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write ``df`` as parquet under the shared checkpoint folder; the table read back and its folder.
 
