@@ -41,9 +41,9 @@ STEMS = range(3, 13)
 LEAST_WEIGHT, LEAST_SURENESS, LEAST_VARIED = 2.5, 3.5, 0.25
 #: the log-odds of what may become an entry once its exceptions are known
 LEAST_CANDIDATE_WEIGHT = 1.0
-#: a beginning that a longer one replaces has so much of its documents; words of so few letters are matched whole
+#: a beginning is replaced by a longer one that has so much of its uses; words of so few letters are matched whole
 NEARLY_ALL, WHOLE_LETTERS = 0.9, 4
-#: different surroundings of an entry among toxic documents, at least
+#: uses of an entry in toxic documents, and different surroundings among them, at least
 LEAST_CONTEXTS = 4
 #: clean documents that use an exception phrase, at least, and its log-odds at most
 LEAST_CLEAN_USES, EXCEPTION_ODDS = 3, -1.0
@@ -53,17 +53,20 @@ THRESHOLD = 0.7
 #: distinct patterns counted before they are handed on
 HELD = 400_000
 
+MAY_STAND_FOR = "0123456789@$!|"
+_STANDING = re.compile(r"[0-9@$!|]")
 _SIGNS = re.compile(r"[@$](?=[^\W_])|(?<=[^\W_])[!|](?=[^\W_])")
 _DIGITS = re.compile(r"(?<=[^\W\d_])[0-9]+|[0-9]+(?=[^\W\d_])")
-_WORDS = re.compile(r"[^\W\d_]+")
+_WORDS = re.compile(r"[^0-9@$!| ]+")
 
 
 class _Letters(dict):
-    """Code point -> folded letters, filled as they are met."""
+    """Code point -> folded letters, digits and signs that may stand for letters, else a space; filled as they are met."""
 
     def __missing__(self, point: int) -> str:
         plain = [c for c in unicodedata.normalize("NFKD", chr(point)) if unicodedata.category(c) not in ("Mn", "Me", "Cf")]
         folded = "".join(LOOKALIKES.get(c, c) for c in "".join(plain).lower()).replace("l", "i")
+        folded = "".join(c if c.isalpha() or c in MAY_STAND_FOR else " " for c in folded)
         self[point] = folded
         return folded
 
@@ -74,8 +77,9 @@ _LETTERS = _Letters()
 def fold(text: str) -> list[str]:
     """The words of a text in one spelling; white space, numbers and signs between words go."""
     text = text.lower().translate(_LETTERS)
-    if any(s in text for s in "@$!|"):
-        text = _SIGNS.sub(lambda m: m.group().translate(STANDS_FOR), text)
+    if not _STANDING.search(text):
+        return text.split()
+    text = _SIGNS.sub(lambda m: m.group().translate(STANDS_FOR), text)
     return _WORDS.findall(_DIGITS.sub(lambda m: m.group().translate(STANDS_FOR), text))
 
 
@@ -135,6 +139,7 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, mos
     told = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).where(~held_out(F.col("doc_id")))
     told = told.groupBy("doc_id").agg((F.avg(F.col("toxic").cast("double")) >= 0.5).alias("toxic"))
     chosen = told.orderBy(F.md5(F.col("doc_id").cast("string"))).limit(most).select(F.col("doc_id").alias("_label_id"), "toxic")
+    chosen = staged(chosen, "toxicity-labels")
     slim = docs.select(F.col(f"`{id_col}`").alias("_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     return slim.join(F.broadcast(chosen), F.col("_id") == F.col("_label_id")).select("text", "toxic")
 
@@ -165,9 +170,17 @@ def _counted(train: DataFrame, keys_of, width: int) -> DataFrame:
     return rows.groupBy(*names).agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_clean").alias("n_clean"))
 
 
-def _patterns(text: str) -> set[tuple[str]]:
-    words = set(fold(text))
-    return {(f" {w[:n]}",) for w in words for n in STEMS if n <= len(w)} | {(f" {w} ",) for w in words if len(w) >= STEMS.start}
+def _words(text: str) -> set[tuple[str]]:
+    return {(w,) for w in set(fold(text)) if len(w) >= STEMS.start}
+
+
+def _patterns(words: DataFrame) -> DataFrame:
+    """(k0, n_toxic, n_clean): uses of whole words and of their beginnings, from the documents that have each word."""
+    stems = F.transform(F.sequence(F.lit(STEMS.start), F.least(F.length("k0"), F.lit(STEMS.stop - 1))),
+                        lambda n: F.concat(F.lit(" "), F.substring(F.col("k0"), F.lit(1), n)))
+    whole = F.array(F.concat(F.lit(" "), F.col("k0"), F.lit(" ")))
+    each = words.select(F.explode(F.concat(stems, whole)).alias("k0"), "n_toxic", "n_clean")
+    return each.groupBy("k0").agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_clean").alias("n_clean"))
 
 
 def _odds(toxic: Column, clean: Column, n_toxic: int, n_clean: int) -> tuple[Column, Column]:
@@ -177,9 +190,9 @@ def _odds(toxic: Column, clean: Column, n_toxic: int, n_clean: int) -> tuple[Col
 
 
 def _entries(found: dict[str, tuple[float, int]]) -> dict[str, float]:
-    """Of patterns (weight, toxic documents) that extend each other those that say the most.
+    """Of patterns (weight, uses in toxic documents) that extend each other those that say the most.
 
-    A beginning goes if a longer one stands in nearly as many toxic documents (a whole word has to be in more than
+    A beginning goes if a longer one has nearly as many toxic uses (a whole word has to be in more than
     its own letters as a beginning, unless it is short), and a longer one goes if a beginning left is about as strong.
     """
     closed = {}
@@ -204,14 +217,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     Without toxic or without clean training documents the lexicon is empty and every score the share of toxic ones.
     """
-    train = staged(labelled(docs, labels, id_col, text_col, most), "toxicity-train")
+    train = labelled(docs, labels, id_col, text_col, most)
     counts = {r["toxic"]: r["n"] for r in train.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_clean = counts.get(True, 0), counts.get(False, 0)
     base = math.log((n_toxic + 0.5) / (n_clean + 0.5))
     if not n_toxic or not n_clean:
         return Lexicon(intercept=base, slope=0.0)
     weight, error = _odds(F.col("n_toxic"), F.col("n_clean"), n_toxic, n_clean)
-    sure = _counted(train, _patterns, 1).withColumns({"weight": weight, "sureness": weight / error}).where(
+    likely = _patterns(_counted(train, _words, 1)).where(F.col("n_toxic") >= LEAST_CONTEXTS)
+    sure = likely.withColumns({"weight": weight, "sureness": weight / error}).where(
         (F.col("weight") >= LEAST_CANDIDATE_WEIGHT) & (F.col("sureness") >= LEAST_SURENESS))
     sure = sure.orderBy(F.col("sureness").desc(), F.length("k0"), "k0").limit(MOST_ENTRIES)
     found = {r["k0"]: (r["weight"], r["n_toxic"]) for r in sure.select("k0", "weight", "n_toxic").collect()}
@@ -255,7 +269,7 @@ def _calibrated(train: DataFrame, lexicon: Lexicon) -> Lexicon:
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
 
-    loads = staged(_scored(train, ["toxic"], "text", lexicon), "toxicity-loads").select("load", F.col("toxic").cast("double").alias("label"))
+    loads = staged(_scored(train, ["toxic"], "text", lexicon).select("load", F.col("toxic").cast("double").alias("label")), "toxicity-loads")
     if not loads.where("load > 0").take(1):
         return lexicon
     rows = VectorAssembler(inputCols=["load"], outputCol="features").transform(loads)
