@@ -49,7 +49,7 @@ def kept_by_rules(rows):
 
 
 def mixed(rows):
-    """(doc_id, text) rows of the mix, by going through schedule and blocks one by one."""
+    """(doc_id, text) rows of the mix: each source's first words in shuffled order, as often as its target has them."""
     def at(r):
         key = "|".join(["mix-1", "~" if r["doc_id"] is None else str(r["doc_id"]), str(len(words(r["text"])))])
         return int(hashlib.md5(key.encode()).hexdigest()[:13], 16)
@@ -65,26 +65,14 @@ def mixed(rows):
             break
         full |= more
     target = {s: 3 * size[s] if s in full else level * weight[s] for s in names}
-    block = max(1, round(total ** (1 / 3) / 2))
-    edges, upto = [], 0.0
-    for s in names:
-        edges.append((upto, upto + target[s] / sum(target.values()), s))
-        upto = edges[-1][1]
-    taken = {s: 0 for s in names}
-    for i in range(-(-total // block)):
-        u = (i + 0.5) * 0.6180339887498949 % 1.0
-        for a, b, s in edges:
-            if a <= u < b and taken[s] < 3 * math.ceil(size[s] / block):
-                taken[s] += 1
     out = []
     for s in names:
         own = sorted((r for r in rows if r["source"] == s), key=lambda r: (at(r), r["doc_id"] is not None, r["doc_id"] or 0))
-        blocks, before = math.ceil(size[s] / block), 0
+        before, given = 0, math.floor(target[s] + 0.5)
         for r in own:
             n = len(words(r["text"]))
             for epoch in range(3):
-                cut = max(0, min(taken[s] - epoch * blocks, blocks)) * block
-                c = min(n, max(0, cut - before))
+                c = min(n, max(0, min(given - epoch * size[s], size[s]) - before))
                 if c:
                     out.append((r["doc_id"], r["text"] if c == n else
                                 "".join(re.findall(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+", r["text"])[:c])))

@@ -1,9 +1,10 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
-Slot i of the schedule sits at the golden-ratio point frac((i + 1/2) / phi); the point falls into one interval of
-the cumulative target weights, so every stretch of the schedule holds the sources in proportion. The slots of a
-source are ranked, and slot r takes block r (cyclically) of the source's shuffled documents, laid end to end and
-cut into blocks of equally many words.
+Every source's shuffled documents are laid end to end and cut into blocks of equally many words, blocks of about the
+same length in all sources. The target of a source is so many slots of one block each, the last one partial. Point i
+of the schedule is the golden-ratio point frac((i + 1/2) / phi); it falls into one interval of the cumulative slots,
+so every stretch of the schedule holds the sources in proportion. The points of a source are ranked, and the one of
+rank r is the slot that takes block r (cyclically), until the target is met to the word.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from veritab.operators.prefix import global_running_sums
 from veritab.llm.running import running
 from veritab.llm.sharding import source_key
 from veritab.llm.staging import row_key, staged, unit_interval
@@ -23,51 +25,70 @@ GOLDEN = 0.6180339887498949
 MOST_EPOCHS = 3
 
 
+def _by_name() -> list:
+    """Sources by code point, those without a name last."""
+    return [(F.col("source_key") == "-").asc(), F.col("source_key").asc()]
+
+
 def source_targets(rows: DataFrame, weights: tuple = (5, 2, 1)) -> DataFrame:
     """``source_key``, ``source_size``, ``weight``, ``target``: shares of all words, none above 3 times its source.
 
     The excess of full sources is dealt to the others by weight; the level L with sum(min(cap, L * weight)) = total
     is the largest of the levels that arise when sources fill up in the order of cap / weight. One row per source.
     """
-    by_name = Window.orderBy(F.col("source_key") == "-", "source_key")
-    table = rows.groupBy("source_key").agg(F.sum("size").alias("source_size"))
-    index = (F.row_number().over(by_name) - 1) % len(weights)
-    table = table.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), index + 1))
-    table = table.withColumn("cap", (F.col("source_size") * MOST_EPOCHS).cast("double"))
-    filling = Window.orderBy(F.col("cap") / F.col("weight"), "source_key")
-    done, whole = filling.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
-    table = table.withColumns({
-        "_filled": F.coalesce(F.sum("cap").over(done), F.lit(0.0)),
-        "_open": F.sum("weight").over(filling.rowsBetween(0, Window.unboundedFollowing)),
-        "_total": F.sum("source_size").over(whole)})
-    level = F.max((F.col("_total") - F.col("_filled")) / F.col("_open")).over(whole)
-    return table.select("source_key", "source_size", "weight", F.col("_total").alias("total"),
-                        F.least("cap", level * F.col("weight")).alias("target"))
-
-
-def schedule(spark, targets: DataFrame, block: int, total: int) -> DataFrame:
-    """``slot``, ``source_key``, ``rank``, ``block``: which block of which source stands at each slot."""
-    slots = -(-total // block)
-    by = Window.orderBy(F.col("source_key") == "-", "source_key")
-    upper = F.sum("target").over(by.rowsBetween(Window.unboundedPreceding, 0)) / F.sum("target").over(
-        by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    spans = targets.where("target > 0").withColumn("_to", upper)
-    spans = spans.withColumns({"_from": F.lag("_to", 1, 0.0).over(by),
-                               "_cells": F.count(F.lit(1)).over(Window.partitionBy())})
+    table = staged(rows.groupBy("source_key").agg(F.sum("size").alias("source_size")), "mix-sources")
+    total = table.agg(F.sum("source_size")).first()[0] or 0
+    table = global_running_sums(table, _by_name(), {"_index": F.lit(1)})
+    index = ((F.col("_index") - 1) % len(weights)).cast("int")
+    table = table.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), index + 1)).drop("_index")
+    table = staged(table.withColumn("cap", (F.col("source_size") * MOST_EPOCHS).cast("double")), "mix-weights")
+    whole = table.agg(F.sum("weight")).first()[0] or 0.0
+    order = [(F.col("cap") / F.col("weight")).asc(), F.col("source_key").asc()]
+    filled = global_running_sums(table, order, {"_cap": F.col("cap"), "_weight": F.col("weight")})
+    open_ = F.lit(whole) - (F.col("_weight") - F.col("weight"))
+    level = filled.agg(F.max((F.lit(float(total)) - (F.col("_cap") - F.col("cap"))) / open_)).first()[0] or 0.0
+    return table.select("source_key", "source_size", "weight", F.lit(total).cast("long").alias("total"),
+                        F.least("cap", F.lit(level) * F.col("weight")).alias("target"))
+
+
+def source_slots(targets: DataFrame, block: int) -> DataFrame:
+    """``targets`` with ``blocks`` of each source, the ``words`` it gives (its target, rounded) and the ``slots`` they fill."""
+    size, blocks = F.col("source_size"), F.col("blocks")
+    out = targets.where("source_size > 0").withColumn("blocks", F.ceil(size / block).cast("long"))
+    out = out.withColumn("words", F.floor(F.col("target") + 0.5).cast("long"))
+    over = F.col("words") % size
+    # the first block boundary at or behind the words of the last pass
+    return out.withColumn("slots", F.expr("words div source_size") * blocks + F.when(over > 0, F.expr(
+        "(words % source_size * blocks + source_size - 1) div source_size")).otherwise(0))
+
+
+def schedule(spark, sources: DataFrame) -> DataFrame:
+    """``slot``, ``source_key``, ``rank``, ``block``, ``from``, ``to``: the words ``from`` to ``to`` of which source
+    stand at each slot (a point of the schedule), and in which pass over it (``epoch``).
+
+    2.62 points for each slot leave no gap in which a source misses one; points beyond a source's slots stay empty.
+    """
+    spans = staged(global_running_sums(sources, _by_name(), {"_to": F.col("slots")}), "mix-spans")
+    slots, cells = spans.agg(F.sum("slots"), F.count(F.lit(1))).first()
+    if not slots:
+        slots, cells = 0, 1
+    points = spark.range(-(-27 * slots // 10) + 8 if slots else 0)
+    # frac((i + 1/2) * golden), the high part of i apart, so that large i lose no digits
+    low, high = "(id % 65536 + 0.5D)", "(id div 65536)"
+    points = points.withColumn("_u", F.expr(f"({high} * {65536 * GOLDEN % 1.0!r}D % 1.0D + {low} * {GOLDEN!r}D % 1.0D) % 1.0D * {slots}"))
     # a point and the interval it falls in share a cell; a cell holds about one interval
-    spans = spans.withColumn("_cell", F.explode(F.sequence(F.floor(F.col("_from") * F.col("_cells")),
-                                                           F.floor(F.col("_to") * F.col("_cells")))))
-    cells = targets.where("target > 0").count()
-    points = spark.range(slots).withColumn("_u", F.expr(f"(id + 0.5D) * {GOLDEN!r}D % 1.0D"))
-    points = points.withColumn("_cell", F.floor(F.col("_u") * cells))
+    width = max(1.0, slots / cells)
+    points = points.withColumn("_cell", F.floor(F.col("_u") / width))
+    spans = spans.withColumn("_from", F.col("_to") - F.col("slots"))
+    spans = spans.withColumn("_cell", F.explode(F.sequence(F.floor(F.col("_from") / width), F.floor(F.col("_to") / width))))
     hit = points.join(spans, "_cell").where("_u >= _from AND _u < _to")
-    hit = hit.select(F.col("id").alias("slot"), "source_key", "source_size",
-                     (F.col("id") / F.lit(float(max(1, slots)))).alias("_at"))
-    ranked = running(staged(hit, "mix-slots"), "source_key", "_at", ["slot"])
-    blocks = F.ceil(F.col("source_size") / block)
-    # a source at its bound keeps its last surplus slots empty
-    return ranked.where(F.col("rank") < blocks * MOST_EPOCHS).select("slot", "source_key", "rank",
-                                                                     (F.col("rank") % blocks).alias("block"))
+    hit = hit.select(F.col("id").alias("slot"), "source_key", "source_size", "blocks", "words", "slots",
+                     (F.col("id") / F.lit(float(max(1, 3 * slots + 8)))).alias("_at"))
+    ranked = running(staged(hit, "mix-slots"), "source_key", "_at", ["slot"]).where(F.col("rank") < F.col("slots"))
+    ranked = ranked.withColumns({"epoch": F.expr("rank div blocks"), "block": F.col("rank") % F.col("blocks")})
+    edge = lambda i: F.expr(f"({i}) * source_size div blocks")
+    last = F.col("words") - F.col("epoch") * F.col("source_size")
+    return ranked.select("slot", "source_key", "rank", "epoch", "block", edge("block").alias("from"), F.least(edge("block + 1"), last).alias("to"))
 
 
 def mixed(docs: DataFrame, weights: tuple = (5, 2, 1), seed: str = "mix-1", id_col: str = "doc_id",
@@ -88,17 +109,16 @@ def mixed(docs: DataFrame, weights: tuple = (5, 2, 1), seed: str = "mix-1", id_c
     rows = staged(rows.withColumn("_at", unit_interval(F.lit(seed), F.col("doc_id"), F.col("size"))), "mix-rows")
     targets = staged(source_targets(rows, weights), "mix-targets")
     total = targets.agg(F.max("total")).first()[0] or 0
-    block = max(1, round(total ** (1 / 3) / 2))
+    sources = staged(source_slots(targets, max(1, round(total ** (1 / 3) / 2))), "mix-blocks")
     laid = staged(running(rows, "source_key", "_at", [F.asc_nulls_first("doc_id"), "size", "row_key"], value="size"),
                   "mix-laid")
-    times = schedule(spark, targets, block, total).groupBy("source_key", "block").agg(
-        F.count(F.lit(1)).alias("_times"))
-    parts = laid.where("size > 0").withColumn("block", F.explode(F.sequence(
-        F.floor(F.col("before") / block), F.floor((F.col("before") + F.col("size") - 1) / block))))
-    overlap = F.least(F.col("before") + F.col("size"), (F.col("block") + 1) * block) - F.greatest(
-        F.col("before"), F.col("block") * block)
-    parts = parts.join(times, ["source_key", "block"]).groupBy("source_key", "before").agg(
-        *[F.sum(F.when(F.col("_times") > e, overlap).otherwise(0)).alias(f"_e{e}") for e in range(MOST_EPOCHS)])
+    slots = schedule(spark, sources).select("source_key", "epoch", "block", "from", "to")
+    block_of = lambda word: F.expr(f"(({word}) * blocks + blocks - 1) div source_size")
+    parts = laid.where("size > 0").join(sources.select("source_key", "source_size", "blocks"), "source_key").withColumn(
+        "block", F.explode(F.sequence(block_of("before"), block_of("before + size - 1"))))
+    overlap = F.greatest(F.lit(0), F.least(F.col("before") + F.col("size"), "to") - F.greatest("before", "from"))
+    parts = parts.join(slots, ["source_key", "block"]).groupBy("source_key", "before").agg(
+        *[F.sum(F.when(F.col("epoch") == e, overlap).otherwise(0)).alias(f"_e{e}") for e in range(MOST_EPOCHS)])
     out = laid.where("size > 0").join(parts, ["source_key", "before"], "left").unionByName(
         laid.where("size = 0"), allowMissingColumns=True)
     epochs = F.array(*[F.coalesce(F.col(f"_e{e}"), F.lit(0)).cast("long") for e in range(MOST_EPOCHS)])
@@ -111,13 +131,13 @@ def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     """``docs`` as the mix takes them, same columns: a row for each pass over a document, the text cut to the words taken."""
     takes = mixed(docs, id_col=id_col, text_col=text_col, **options)
     takes = takes.groupBy("row_key").agg(F.flatten(F.collect_list("epochs")).alias("_takes"), F.max("size").alias("_size"))
-    columns = docs.columns
-    text = F.col(text_col).cast("string")
-    rows = docs.withColumn("row_key", row_key(F.col(id_col), text)).join(takes, "row_key")
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    text = F.col(f"`{text_col}`").cast("string")
+    rows = docs.select(own, text.alias("_text"), row_key(F.col(f"`{id_col}`"), text).alias("row_key")).join(takes, "row_key")
     # the takes of equal rows are gathered, so they are dealt out from one of them
     rows = rows.withColumn("_copy", F.row_number().over(Window.partitionBy("row_key").orderBy(F.lit(0)))).where("_copy = 1")
     rows = rows.withColumn("_words", F.explode("_takes")).where("_words > 0")
-    head = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0)), 1,
+    head = F.array_join(F.slice(F.regexp_extract_all("_text", F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0)), 1,
                                 F.col("_words").cast("int")), "")
-    rows = rows.withColumn(text_col, F.when(F.col("_words") < F.col("_size"), head).otherwise(text))
-    return rows.select(*columns)
+    taken = F.when(F.col("_words") < F.col("_size"), head).otherwise(F.col("_text"))
+    return rows.select(*[taken.alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in docs.columns])

@@ -79,27 +79,11 @@ filling AS (
   SELECT *, coalesce(sum(cap) OVER (f ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS filled,
          sum(weight) OVER (f ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open,
          sum(source_size) OVER () AS total FROM sources WINDOW f AS (ORDER BY cap / weight, sk)),
-targets AS (SELECT sk, source_size, total, least(cap, max((total - filled) / open) OVER () * weight) AS target FROM filling),
-spans AS (
-  SELECT *, sum(target) OVER (ORDER BY sk = '-', sk) / sum(target) OVER () AS upto FROM targets WHERE target > 0),
-ranges AS (SELECT *, lag(upto, 1, 0.0) OVER (ORDER BY sk = '-', sk) AS start FROM spans),
-blocks AS (SELECT greatest(1, CAST(round_even(pow(max(total)::DOUBLE, 1 / 3.0::DOUBLE) / 2, 0) AS BIGINT)) AS b, max(total) AS total FROM targets),
-points AS (
-  SELECT i, ((i + 0.5::DOUBLE) * 0.6180339887498949::DOUBLE) % 1.0::DOUBLE AS u
-  FROM (SELECT unnest(range(CAST(ceil(total / b) AS BIGINT))) AS i FROM blocks)),
-slots AS (
-  SELECT sk, source_size, row_number() OVER (PARTITION BY sk ORDER BY i) - 1 AS r
-  FROM points JOIN ranges ON u >= start AND u < upto),
-times AS (
-  SELECT sk, r % CAST(ceil(source_size / b) AS BIGINT) AS block, count(*) AS n FROM slots, blocks
-  WHERE r < 3 * ceil(source_size / b) GROUP BY ALL),
-takes AS (
-  SELECT sk, before, sum(n * (least(before + size, (block + 1) * b) - greatest(before, block * b))) AS taken
-  FROM laid JOIN times USING (sk), blocks WHERE size > 0 AND block * b < before + size AND (block + 1) * b > before
-  GROUP BY sk, before)
+targets AS (SELECT sk, source_size, total, least(cap, max((total - filled) / open) OVER () * weight) AS target FROM filling)
 SELECT doc_id, size::BIGINT AS size, source_size::BIGINT AS source_size, target,
-       CASE WHEN size = 0 THEN 0 ELSE coalesce(taken, 0) END::BIGINT AS taken
-FROM laid JOIN targets USING (sk) LEFT JOIN takes USING (sk, before)"""
+       coalesce(list_sum(list_transform(range(3), lambda e: least(size, greatest(0,
+         least(floor(target + 0.5) - e * source_size, source_size) - before)))), 0)::BIGINT AS taken
+FROM laid JOIN targets USING (sk)"""
 
 SQL["op4_topk_inner_product"] = """
 WITH own AS (
