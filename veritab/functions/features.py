@@ -67,10 +67,13 @@ def churn_features(df: DataFrame) -> DataFrame:
     return out.withColumns(new) if new else out
 
 
-def normalise_target(c: str | Column) -> Column:
-    """Trim + lower; yes/1 -> 1, no/0 -> 0, anything else NULL (counted by the label check)."""
-    col = F.lower(F.trim((F.col(c) if isinstance(c, str) else c).cast("string")))
-    return F.when(col.isin("yes", "1"), F.lit(1)).when(col.isin("no", "0"), F.lit(0)).otherwise(F.lit(None).cast("int"))
+def normalise_target(c: str | Column, strict: bool = False) -> Column:
+    """Trim + lower; yes/1 -> 1, no/0 -> 0; anything else fails the job if ``strict``, else is NULL (counted by
+    ``quality.unmapped_targets`` and the label check, and never learned from)."""
+    text = (F.col(c) if isinstance(c, str) else c).cast("string")
+    col = F.lower(F.trim(text))
+    other = F.raise_error(F.concat(F.lit("Target of no class: "), F.coalesce(text, F.lit("NULL")))) if strict else F.lit(None)
+    return F.when(col.isin("yes", "1"), F.lit(1)).when(col.isin("no", "0"), F.lit(0)).otherwise(other.cast("int"))
 
 
 def to_timestamp_or_null(c: str | Column, dtype: T.DataType | None = None) -> Column:

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from veritab.functions.features import normalise_target
+
 
 def require_columns(df: DataFrame, required, what: str = "columns") -> None:
     """Q1: raise listing the sorted missing names."""
@@ -25,6 +27,11 @@ def require_any(df: DataFrame, options, what: str = "columns") -> None:
         raise ValueError(f"At least one of {sorted(options)} {what} is required")
 
 
+def unmapped_targets(df: DataFrame, col: str) -> DataFrame:
+    """(``col``, n_rows) of target texts that normalise to no class."""
+    return df.where(normalise_target(col).isNull()).groupBy(F.col(col)).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def quality_report(df: DataFrame, key_cols=(), label_col: str | None = None, id_col: str | None = None,
                    time_col: str | None = None) -> DataFrame:
     """Q3-Q7 in one aggregate: rows, NULL keys, non-binary labels, duplicate ids, bad timestamps."""

@@ -101,6 +101,8 @@ def needed(sql: str) -> list[str]:
 
 def with_ctes(body: str, extra: dict[str, str] | None = None) -> str:
     ctes = dict(extra or {})
+    if clash := set(ctes) & set(CTES):
+        raise ValueError(f"names of shared CTEs: {sorted(clash)}")
     probe = body + " ".join(ctes.values())
     order = needed(probe)
     parts = [f"{n} AS ({CTES[n]})" for n in order] + [f"{n} AS ({s})" for n, s in ctes.items()]

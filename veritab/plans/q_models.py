@@ -26,7 +26,7 @@ FRAUD_CATEGORICAL = ["location", "device", "merchant_category", "payment_channel
 
 
 def churn_split(spark, sf_dir):
-    c = ft.churn_features(fx.customers(spark, sf_dir)).withColumn("label", ft.normalise_target("Churn"))
+    c = ft.churn_features(fx.customers(spark, sf_dir)).withColumn("label", ft.normalise_target("Churn", strict=True))
     return splits.stratified_split(c, "label", ["customerID"], 0.2, 42)
 
 

@@ -93,7 +93,7 @@ SQL_REQUESTS = """SELECT c_custkey - 3 AS user_id,
 @register("q10_request_constraints", with_ctes("""
 SELECT user_id, top_n, coalesce(user_id BETWEEN 1 AND 10000000000 AND top_n BETWEEN 1 AND 50, false) AS is_valid,
        greatest(1, least(top_n, 50)) AS effective_top_n
-FROM (SELECT user_id, CAST(coalesce(top_n, 10) AS INTEGER) AS top_n FROM requests)""", {"requests": SQL_REQUESTS}))
+FROM (SELECT user_id, CAST(coalesce(top_n, 10) AS INTEGER) AS top_n FROM sent_requests)""", {"sent_requests": SQL_REQUESTS}))
 def q10_request_constraints(spark, sf_dir):
     return quality.validate_requests(_requests(spark, sf_dir))
 
@@ -153,6 +153,21 @@ def p06_target_normalisation(spark, sf_dir):
     return c.select("customerID", ft.normalise_target("Churn").alias("target"))
 
 
+def _targets(spark, sf_dir):
+    """Target texts of customers, some of them written differently, some unknown, some absent."""
+    c = fx.table(spark, sf_dir, "customer")
+    told = F.array(*[F.lit(x) for x in (" Yes", "NO", "1", "0 ", "maybe", None, "no", "")])
+    return c.select("c_custkey", F.get(told, (F.col("c_custkey") % 8).cast("int")).alias("target_text"))
+
+
+@register("p06_unmapped_targets", """
+SELECT [' Yes', 'NO', '1', '0 ', 'maybe', NULL, 'no', ''][c_custkey % 8 + 1] AS target_text, count(*) AS n_rows
+FROM customer WHERE c_custkey % 8 IN (4, 5, 7) GROUP BY 1""")
+def p06_unmapped_targets(spark, sf_dir):
+    """Target texts that stand for no class, counted; a strict normalisation fails on them."""
+    return quality.unmapped_targets(_targets(spark, sf_dir), "target_text")
+
+
 @register("p07_fraud_features", with_ctes(f"""
 SELECT user_id, {r6('CAST(transaction_amount AS DOUBLE)')} AS transaction_amount,
        CAST(hour(transaction_time) AS INTEGER) AS transaction_hour,

@@ -174,7 +174,7 @@ def r03_popularity(spark, sf_dir):
 
 def _load_all() -> None:
     # query modules register themselves on import
-    from veritab.plans import q_eval, q_models, q_recsys, q_streaming, q_tabular  # noqa: F401
+    from veritab.plans import q_eval, q_io, q_models, q_recsys, q_streaming, q_tabular  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

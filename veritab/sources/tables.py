@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from veritab.session import materialize
+
 # pandas' read_csv turns these into NaN by default (S18); CSV readers normalise them to NULL
 NULL_TOKENS = ("", "NA", "N/A", "NULL", "null", "NaN", "nan", "n/a", "#N/A", "None")
 
@@ -27,6 +29,22 @@ def read_table(spark: SparkSession, path: str, fmt: str | None = None, schema: T
     return inferred(normalise_null_tokens(reader.csv(path)))
 
 
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """IO1: (rows, broken): a CSV by an explicit schema; lines that do not fit it are set aside as text, never half-read.
+
+    ``broken`` has the column ``line``. Null tokens of text columns become NULL, in others they make a line broken
+    unless they are empty.
+    """
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    raw = T.StructField("_corrupt_line", T.StringType())
+    read = spark.read.option("header", header).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", raw.name) \
+        .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True) \
+        .schema(T.StructType([*schema.fields, raw])).csv(path)
+    parsed = materialize(read, "csv")  # parsed once, all columns of it: a line is judged by the columns that are read
+    whole = F.col(raw.name).isNull()
+    return normalise_null_tokens(parsed.where(whole).drop(raw.name)), parsed.where(~whole).select(F.col(raw.name).alias("line"))
+
+
 def inferred(df: DataFrame) -> DataFrame:
     """Text columns whose every value is a number become long or double; null tokens have gone before, so they do not
     keep a column textual."""
@@ -49,9 +67,12 @@ def normalise_null_tokens(df: DataFrame, tokens=NULL_TOKENS) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None,
-                mode: str = "overwrite") -> None:
-    """IO2: overwrite-write a table; parents are created by the file system committer."""
-    w = df.write.mode(mode)
+                mode: str = "overwrite", only_partitions: bool = False) -> None:
+    """IO2: overwrite-write a table; parents are created by the file system committer.
+
+    With ``only_partitions`` an overwrite replaces just the partitions that ``df`` has rows of.
+    """
+    w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic" if only_partitions else "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
