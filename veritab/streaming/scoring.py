@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from veritab.functions import features as ft
 from veritab.operators import quality
-from veritab.operators.dedup import keep_first
 from veritab.session import ensure_checkpoint_dir
 
 
@@ -65,40 +64,49 @@ def run_scoring(stream: DataFrame, fitted, out_dir: str | None = None, threshold
     return out_dir
 
 
-#: the sink of ``run_dedup`` is cut into so many parts by a hash of the id
-ID_PARTS = 16
+#: keyed state on local disk, its changes uploaded with every batch
+KEYED_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
-def run_dedup(stream: DataFrame, id_col: str = "transaction_id", out_dir: str | None = None) -> DataFrame:
-    """Run to completion, keeping one row of each id whatever the order and the lateness of the feed.
+def unique_rows(stream: DataFrame, id_col: str, time_col: str | None = None, within: str | None = None) -> DataFrame:
+    """The first arrival of each id; with ``time_col`` and ``within`` ids are forgotten that long after their time."""
+    if within:
+        return stream.withWatermark(time_col, within).dropDuplicatesWithinWatermark([id_col])
+    return stream.dropDuplicates([id_col])
 
-    Every micro-batch is deduplicated in itself and against the ids that earlier
-    batches have written (an anti-join with the sink's id column, which is the
-    only state, lies on disk and is partitioned by a hash of the id). Nothing is
-    late. A replayed batch reads only batches other than itself and overwrites
-    its own rows.
+
+def run_dedup(stream: DataFrame, id_col: str = "transaction_id", out_dir: str | None = None, time_col: str | None = None,
+              within: str | None = None, progress: list | None = None) -> DataFrame:
+    """Run to completion, keeping one row of each id whatever the order of the feed; a null id is an id.
+
+    The ids seen are keyed state in RocksDB, so a micro-batch costs its own rows and looks its ids up, however long
+    the stream has run; what was written is never read. Nothing is late unless ``within`` bounds the state. A
+    replayed batch starts from the state before it and overwrites its own rows. ``progress`` gathers the batches'
+    reports.
     """
     spark = stream.sparkSession
     out_dir = out_dir or _work_dir(spark, "dedup")
     schema = stream.schema
 
-    def sink() -> DataFrame:
-        return spark.read.schema(f"{id_col} {schema[id_col].dataType.simpleString()}, batch_id long, id_part int").option(
-            "basePath", f"{out_dir}/data").parquet(f"{out_dir}/data")
-
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        part = F.pmod(F.xxhash64(id_col), F.lit(ID_PARTS)).cast("int")
-        rows = keep_first(batch, [id_col]).withColumn("id_part", part)
-        if batch_id > 0:
-            known = sink().where(F.col("batch_id") < batch_id).select(F.col(id_col).alias("_known"), F.col("id_part").alias("_part"))
-            same = (F.col("id_part") == F.col("_part")) & F.col(id_col).eqNullSafe(F.col("_known"))
-            rows = rows.join(known, same, "left_anti")
-        rows.write.mode("overwrite").partitionBy("id_part").parquet(f"{out_dir}/data/batch_id={batch_id}")
-
-    q = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", f"{out_dir}/_checkpoint") \
-        .trigger(availableNow=True).start()
+        batch.write.mode("overwrite").parquet(f"{out_dir}/data/batch_id={batch_id}")
+
+    before = {k: spark.conf.get(k, None) for k in KEYED_STATE}
+    for k, v in KEYED_STATE.items():
+        spark.conf.set(k, v)
+    try:  # a query keeps the settings it was started with
+        q = unique_rows(stream, id_col, time_col, within).writeStream.foreachBatch(write_batch) \
+            .option("checkpointLocation", f"{out_dir}/_checkpoint").trigger(availableNow=True).start()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
     q.awaitTermination()
-    return spark.read.schema(schema).parquet(f"{out_dir}/data/*/*")
+    if progress is not None:
+        progress.extend(q.recentProgress)
+    return spark.read.schema(schema).parquet(f"{out_dir}/data/*")
 
 
 def run_to_table(stream: DataFrame, name: str) -> DataFrame:
