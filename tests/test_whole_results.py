@@ -104,8 +104,7 @@ def test_classifier_chain(spark, tmp_path):
     rnd = random.Random(2)
     rows = [(f"t{i}", rnd.gauss(0, 1), rnd.choice("ab"), i % 5 == 0) for i in range(300)]
     df = spark.createDataFrame([(k, x + 3 * y, c, int(y)) for k, x, c, y in rows], "id string, x double, c string, label int")
-    table = tr.compare_models(search.search(df, "label", ["id"], ["x"], ["c"], {"logistic_regression": search.FRAUD_SPACE["logistic_regression"]},
-                                            n_iter=2, folds=2))
+    table = tr.compare_models(search.search(df, "label", ["id"], {"logistic_regression": search.FRAUD_SPACE["logistic_regression"]}, 2, 2))
     assert table.count() == 3 and table.where("cv_score > 0.5").count() == 3
     fitted = search.refit(df, "label", ["id"], ["x"], ["c"], table.first())
     fitted = tr.with_tuned_threshold(fitted, df, "label", 0.8)

@@ -315,8 +315,7 @@ FROM (SELECT unnest(['logistic_regression', 'random_forest', 'gbt']) AS model) m
 def m10_fraud_model_search(spark, sf_dir):
     """M10 + M11 of the fraud chain: ten draws of each space, three strategies, four folds, by average precision."""
     s = materialize(fraud_split(spark, sf_dir).where("split = 'train'").drop("split"), "fraud_train")
-    table = materialize(search.search(s, "label", ["transaction_id"], FRAUD_NUMERIC, FRAUD_CATEGORICAL, search.FRAUD_SPACE,
-                                      n_iter=10, folds=4), "fraud_search")
+    table = materialize(search.search(s, "label", ["transaction_id"], search.FRAUD_SPACE, n_iter=10, folds=4), "fraud_search")
     return _searched(table, s.agg(F.avg(F.col("label").cast("double"))).scalar())
 
 
@@ -326,8 +325,8 @@ FROM (SELECT unnest(['logistic_regression', 'random_forest', 'gbt']) AS model) m
 def m11_churn_model_search(spark, sf_dir):
     """M10 + M11 of the churn chain: feature selection in each fold, twenty draws of each space, five folds, by F1."""
     s = materialize(churn_split(spark, sf_dir).where("split = 'train'").drop("split"), "churn_train")
-    table = materialize(search.search(s, "label", ["customerID"], CHURN_NUMERIC, CHURN_CATEGORICAL, search.CHURN_SPACE, n_iter=20,
-                                      folds=5, strategies=("none",), metric="f1", select_features=True), "churn_search")
+    table = materialize(search.search(s, "label", ["customerID"], search.CHURN_SPACE, 20, 5, CHURN_NUMERIC, CHURN_CATEGORICAL,
+                                      strategies=("none",), metric="f1", select_features=True), "churn_search")
     return _searched(table, F.lit(0.0)).drop("better_than_chance")
 
 
