@@ -83,3 +83,27 @@ def test_keep_one(spark):
     kept = [r["doc_id"] for r in jaccard.keep_one(frame).collect()]
     expected = {c for _, n, c in brute([(i, t) for i, t, _ in rows]) if n}
     assert sorted(kept) == sorted(expected | {700, 701})
+
+
+def test_three_hundred_near_copies(spark, monkeypatch):
+    """Copies with several changes each: many pairs stand at the edge of the similarity, and few links join them."""
+    monkeypatch.setattr(jaccard, "COMMON", 2)
+    asked = []
+    pruned = jaccard._pruned
+    monkeypatch.setattr(jaccard, "_pruned", lambda pairs, classes: asked.append(pairs.count()) or pruned(pairs, classes))
+    rows = family(12, 300, 4, 0)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.similarity_components(frame).collect()]
+    assert sorted(got, key=str) == brute(rows)
+    assert sum(asked) < 300 * 299 / 2
+
+
+def test_keep_one_leaves_columns_of_any_name(spark):
+    rows = [(i, t, "left") for i, t in table(3)[:30]]
+    names = ("_th", "_key", "_row", "_copy", "_one", "_worded", "_set")
+    from pyspark.sql import functions as F
+
+    frame = spark.createDataFrame(rows, "doc_id long, text string, cls string").select("*", *[F.lit("clash").alias(n) for n in names])
+    kept = jaccard.keep_one(frame)
+    assert kept.columns == frame.columns
+    assert all(r["cls"] == "left" and all(r[n] == "clash" for n in names) for r in kept.collect())

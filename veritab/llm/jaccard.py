@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veritab.llm.components import components
@@ -226,7 +226,7 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
     # classes left with too few shingles when the common ones go to the end of the order
     bare = staged(moved.join(classes.select("cls", "least", "looked"), "cls").where("looked - moved < least").select("cls"),
                   "jaccard-bare")
-    bare_runs = common.join(bare, "cls", "left_semi").select("t", "cls", "m")
+    bare_runs = staged(common.join(bare, "cls", "left_semi").select("t", "cls", "m"), "jaccard-bare-runs")
     # in groups that share their shingles, another class is drawn by each shingle, so that each is compared with many
     near = _stars(runs.where(F.col("m") <= COMMON), F.col("cls")).unionByName(
         _stars(bare_runs, F.xxhash64("cls", "t"))).distinct()
@@ -244,19 +244,26 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
         F.greatest(F.lit(0), F.col("pos") - F.coalesce("moved", F.lit(0))))).where("pos < least")
     asked = bare_runs.select("t").distinct().withColumn("_asked", F.lit(True))
     told = told.join(asked, "t", "left").where((F.col("m") <= COMMON) | F.col("_asked"))
+    told = told.join(bare.withColumn("bare", F.lit(True)), "cls", "left")
     # sets that may be similar have sizes in the same step of 1 / 0.85, or in neighbouring ones
     told = staged(told.drop("moved", "least", "_asked").withColumn(
         "step", F.floor(F.log("n") / np.log(100 / PERCENT)).cast("int")), "jaccard-told")
-    rest, many = told.where(F.col("m") <= COMMON), told.where(F.col("m") > COMMON)
-    near_steps = many.join(bare, "cls", "left_semi").withColumn(
-        "step", F.explode(F.array(F.col("step") - 1, F.col("step"), F.col("step") + 1)))
+    rest = told.where(F.col("m") <= COMMON)
+    steps = F.explode(F.array(F.col("step") - 1, F.col("step"), F.col("step") + 1))
+    many = told.where(F.col("m") > COMMON)
+    many = many.join(many.where("bare").withColumn("step", steps).select("t", "step").distinct(), ["t", "step"], "left_semi")
+    # near copies share most of what they begin with: a pair is made once, at the first shingle that both have
+    firsts = members.where("n > 0").join(many.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.first("first").alias("first"))
+    many = staged(many.join(firsts, "cls").withColumn("before", F.slice("first", F.lit(1), F.col("pos"))).drop("first"), "jaccard-many")
+    near_steps = many.where("bare").withColumn("step", steps)
     # at the first shingle that two sets share, what follows it in both must hold the rest of the overlap
     follows = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) >= _least_overlap("x", "y")
     apart = (F.col("x.component") != F.col("y.component")) & follows & _may_link("x", "y", COARSE) & (F.col("x.t") == F.col("y.t"))
-    pair = lambda x, y, rule: x.alias("x").join(y.alias("y"), rule & apart).select(
+    pair = lambda x, y, rule: x.alias("x").join(y.alias("y"), apart & rule).select(
         F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"))
     far = pair(rest, rest, F.col("x.cls") < F.col("y.cls")).unionByName(
-        pair(near_steps, many, (F.col("x.cls") != F.col("y.cls")) & (F.col("x.step") == F.col("y.step")))).distinct()
+        pair(near_steps, many, (F.col("x.cls") != F.col("y.cls")) & (F.col("x.step") == F.col("y.step"))
+             & ~F.arrays_overlap("x.before", "y.before"))).distinct()
     links = links.unionByName(_linked(docs, members, _pruned(far, classes)))
     grouped = components(links).withColumnRenamed("node", "cls")
     placed = members.select("doc_id", "th", "n", "cls").join(grouped, "cls", "left").withColumn(
@@ -273,17 +280,14 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     Rows without words all stay. Of repeated rows one stays.
     """
-    from pyspark.sql import Window
-
-    columns = docs.columns
     found = similarity_components(docs, id_col, text_col).where("n_shingles > 0")
     chosen = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("cls")).alias("_set")).agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "th")).alias("_one"))
-    chosen = chosen.select(F.col("_one.doc_id").alias("_id"), F.col("_one.th").alias("_th")).distinct()
+    chosen = chosen.select(F.coalesce(F.col("_one.doc_id").cast("string"), F.lit("~")).alias("_key"), F.col("_one.th").alias("_th")).distinct()
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    worded = text.rlike(r"[^\x20\x09-\x0D]")
-    own = docs.where(worded).withColumns({"_th": F.xxhash64(text), "_key": F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("~"))})
-    chosen = chosen.select(F.coalesce(F.col("_id").cast("string"), F.lit("~")).alias("_key"), "_th")
-    kept = own.join(chosen, ["_key", "_th"], "left_semi").withColumn(
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.xxhash64(text).alias("_th"),
+                       F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("~")).alias("_key"),
+                       text.rlike(r"[^\x20\x09-\x0D]").alias("_worded"))
+    kept = rows.where("_worded").join(chosen, ["_key", "_th"], "left_semi").withColumn(
         "_copy", F.row_number().over(Window.partitionBy("_key", "_th").orderBy(F.lit(0)))).where("_copy = 1")
-    return kept.select(*columns).unionByName(docs.where(~worded).select(*columns))
+    return kept.select("_row").unionByName(rows.where("NOT _worded").select("_row")).select("_row.*")
