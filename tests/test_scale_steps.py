@@ -4,7 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from veritab.config import RecColumns
-from veritab.operators import profile
+from veritab.operators import profile, sampling, splits
+from veritab.operators.recsys import cf as cfm
+from veritab.operators.recsys import content as cb
+from veritab.operators.recsys import hybrid as hy
 from veritab.operators.recsys import matrix as rm
 from veritab.operators.recsys import signals as rs
 from veritab.operators.recsys import similarity as sim
@@ -60,3 +63,48 @@ def test_pairs_are_dealt_once(spark):
         assert abs(r["sim"] - dot / norm[r["a"]] / norm[r["b"]]) < 1e-12
     items = m.select("item_id").distinct().limit(3)
     assert _plan(profile.item_pearson(items, m)).count("hashpartitioning(a#") == 1
+
+
+def _ratings(spark, sign=1.0):
+    rows = [(u, None if (u + k) % 11 == 0 else f"i{(u * 7 + k * k) % 13}", sign if (u + k) % 4 == 0 else 1.0 + (u + k) % 4)
+            for u in range(12) for k in range(4)]
+    return spark.createDataFrame(rows, "user_id long, item_id string, r double").groupBy("user_id", "item_id").agg(F.avg("r").alias("r"))
+
+
+def test_scores_by_lists_are_those_by_similarities(spark, monkeypatch):
+    m = _ratings(spark)
+    asked = spark.createDataFrame([(1,), (5,)], "user_id long")
+    monkeypatch.setattr(cfm, "LIST_ROWS", 2)  # lists cut in two
+    got = [{(r[0], r[1]): r[2] for r in f(asked, m).collect()} for f in (cfm.item_based_scores, cfm.cf_scores)]
+    monkeypatch.setattr(cfm, "_has_negative", lambda matrix: True)
+    for new, f in zip(got, (cfm.item_based_scores, cfm.cf_scores)):
+        old = {(r[0], r[1]): r[2] for r in f(asked, m).collect()}
+        assert old.keys() == new.keys() and all(abs(old[k] - new[k]) < 1e-12 for k in old)
+
+
+def test_negative_ratings_take_the_long_way(spark):
+    assert cfm._has_negative(_ratings(spark, -2.0)) and not cfm._has_negative(_ratings(spark))
+
+
+def test_rare_and_common_terms_weigh_the_same_way(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "red bolt red"), (2, "red ring"), (2, "blue ring"), (None, "red"), (4, None)], "item_id int, content_text string")
+    common = {(r[0], r[1]): r[2] for r in cb.tfidf(docs).collect()}
+    monkeypatch.setattr(cb, "COMMON", 1)  # only terms of all documents are common
+    rare = {(r[0], r[1]): r[2] for r in cb.tfidf(docs).collect()}
+    assert common.keys() == rare.keys() and (None, "red") in rare and all(abs(common[k] - rare[k]) < 1e-12 for k in rare)
+
+
+def test_content_predictions_sum_no_collaborative_scores(spark, monkeypatch):
+    train = spark.createDataFrame([(1, "a", 4.0), (2, "b", 3.0)], "user_id long, item_id string, signal double")
+    items = spark.createDataFrame([("a", "red bolt"), ("b", "red ring")], "item_id string, content_text string")
+    parts = hy.fit(train, items)
+    assert not hasattr(parts, "profiles")
+    monkeypatch.setattr(hy, "cf_of_pairs", None)
+    pairs = spark.createDataFrame([(1, "b"), (2, "a"), (9, "a")], "user_id long, item_id string")
+    assert hy.predict(parts, pairs, (0.0, 1.0, 0.0)).count() == 3
+
+
+def test_class_counts_do_not_deal_the_rows(spark):
+    df = spark.createDataFrame([(i, i % 2) for i in range(20)], "id int, label int")
+    for out in (splits.stratified_split(df, "label", ["id"]), sampling.balanced_class_weights(df, "label")):
+        assert "ResolvedHint (strategy=broadcast)" in out._jdf.queryExecution().analyzed().toString()
