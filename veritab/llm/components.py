@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritab.llm.staging import staged
+from veritab.llm.staging import staged, unstage
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -33,6 +33,7 @@ def components(links: DataFrame) -> DataFrame:
         if now == seen or not now[0]:
             break
         seen = now
-        edges = staged(_star(_star(edges, large=True), large=False), "links")
+        edges, old = staged(_star(_star(edges, large=True), large=False), "links"), edges
+        unstage(old)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veritab.llm.components import components
-from veritab.llm.staging import staged
+from veritab.llm.staging import staged, unstage
 from veritab.llm.textvec import mix, text_chunks, word_hashes
 
 WORDS = 4
@@ -150,7 +150,9 @@ def _fragments(docs: DataFrame, members: DataFrame, wanted: DataFrame) -> DataFr
                 yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(parts, pa.binary())],
                                       ["cls", "fragment", "shingles"])
 
-    return staged(rows.mapInArrow(run, "cls long, fragment int, shingles binary"), "jaccard-fragments")
+    parts = staged(rows.mapInArrow(run, "cls long, fragment int, shingles binary"), "jaccard-fragments")
+    unstage(chosen)
+    return parts
 
 
 def _count(rows: pd.DataFrame) -> pd.DataFrame:
@@ -185,7 +187,9 @@ def _linked(docs: DataFrame, members: DataFrame, pairs: DataFrame) -> DataFrame:
     counted = rows.groupBy("cell", "fragment").applyInPandas(_count, "a long, b long, shared long")
     summed = counted.groupBy("a", "b").agg(F.sum("shared").alias("shared"))
     reach = (100 + PERCENT) * F.col("shared") >= PERCENT * (F.col("na") + F.col("nb"))
-    return staged(pairs.join(summed, ["a", "b"]).where(reach).select("a", "b"), "jaccard-links")
+    links = staged(pairs.join(summed, ["a", "b"]).where(reach).select("a", "b"), "jaccard-links")
+    unstage(pairs, parts)
+    return links
 
 
 def _runs(members: DataFrame) -> DataFrame:
@@ -269,6 +273,7 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
     placed = members.select("doc_id", "th", "n", "cls").join(grouped, "cls", "left").withColumn(
         "component", F.coalesce("component", "cls"))
     placed = staged(placed, "jaccard-placed")
+    unstage(members, classes, runs, moved, bare, bare_runs, told, many)
     least = placed.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("_least"))
     return placed.join(least, "component", "left").select(
         "doc_id", "th", F.col("n").cast("long").alias("n_shingles"), "cls",

@@ -12,6 +12,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veritab.session import shuffles_freed
+
 
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session; a session without one uses its warehouse folder."""
@@ -26,12 +28,22 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back; the files go when the application ends."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    with shuffles_freed(spark):
+        df.write.parquet(path)
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unstage(*tables: DataFrame) -> None:
+    """Delete the files of ``staged`` tables that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        for folder in {f.rpartition("/")[0] for f in table.inputFiles()}:
+            hadoop = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once per row, also where ``body`` uses it inside a lambda."""
     return F.transform(F.array(value), body)[0]
