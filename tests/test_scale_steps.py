@@ -108,3 +108,25 @@ def test_class_counts_do_not_deal_the_rows(spark):
     df = spark.createDataFrame([(i, i % 2) for i in range(20)], "id int, label int")
     for out in (splits.stratified_split(df, "label", ["id"]), sampling.balanced_class_weights(df, "label")):
         assert "ResolvedHint (strategy=broadcast)" in out._jdf.queryExecution().analyzed().toString()
+
+
+def test_items_of_one_text_are_not_all_candidates(spark):
+    texts = ["red bolt", "red ring", "blue ring", "old nail"]
+    items = spark.createDataFrame([(f"i{k:03d}", texts[k % 4]) for k in range(240)], "item_id string, content_text string")
+    train = spark.createDataFrame([(u, f"i{(u * 37 + j * 11 + j * j) % 240:03d}", 1.0 + (u + j) % 5) for u in range(8) for j in range(4)],
+                                  "user_id long, item_id string, signal double").dropDuplicates(["user_id", "item_id"])
+    parts = hy.fit(train, items)
+    asked = spark.createDataFrame([(1,), (5,)], "user_id long")
+    weights, n = [(0.6, 0.3, 0.1), (0.0, 1.0, 0.0), (0.2, 0.8, 0.0), (0.0, 0.5, 0.5)], 5
+    got = {(r["grid"], r["user_id"], r["rank"]): (r["item_id"], round(r["score"], 9)) for r in hy.top_n(parts, weights, n, asked).collect()}
+    assert hy.candidates(parts, asked, n, weights[:1]).groupBy("user_id").count().agg(F.max("count")).first()[0] < 120
+    # every pair of an asked user and an item, scored
+    pairs = asked.crossJoin(parts.codes.select(F.col("item_id").alias("i"))).withColumnRenamed("i", "item_id")
+    whole = hy.scores_of_pairs(parts, pairs).join(parts.seen, ["user_id", "item_id"], "left_anti").join(
+        parts.catalog.select("item_id", "pop_i"), "item_id").join(parts.users.select("user_id", "has_profile"), "user_id")
+    for g, w in enumerate(weights):
+        rows = parts.decode(whole.withColumn("score", F.round(hy.score_column(*[F.lit(x) for x in hy.normalise_weights(*w)]), 9))).collect()
+        for u in (1, 5):
+            best = sorted(((r["item_id"], r["score"]) for r in rows if r["user_id"] == u), key=lambda x: (-x[1], x[0]))[:n]
+            assert [got[g, u, k + 1][0] for k in range(n)] == [i for i, _ in best]
+            assert all(abs(got[g, u, k + 1][1] - s) < 1e-8 for k, (_, s) in enumerate(best))
