@@ -66,6 +66,15 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """A row for each set, a bit for each fragment of the order: whether it holds an odd number of its shingles."""
+    out = np.empty((len(sets), ODD_FRAGMENTS // 8), np.uint8)
+    for bits, s in zip(out, sets):
+        held = np.bincount((s >> np.uint64(53)).astype(np.int64), minlength=ODD_FRAGMENTS)
+        bits[:] = np.packbits((held & 1).astype(np.uint8))
+    return out.view(np.int64)
+
+
 def needed(n):
     """The overlap that a set of n shingles needs with any partner, at least."""
     return -(-n * PERCENT // 100)
@@ -89,8 +98,7 @@ def _sets(docs: DataFrame) -> DataFrame:
                 n = np.array([len(s) for s in sets], np.int32)
                 bounds = [_first_fragment(int(k)) if k else (0, 0) for k in n]
                 first = [s[:b[1]].view(np.int64) for s, b in zip(sets, bounds)]
-                odd = np.array([np.bincount((s >> np.uint64(53)).astype(np.int64), minlength=ODD_FRAGMENTS) & 1 for s in sets])
-                packed = np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
+                packed = parities(sets)
                 cls = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(start, stop - start), batch.column(1).slice(start, stop - start), pa.array(n),

@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritab.session import shuffles_freed
+from veritab.session import bound_arrow_batches, shuffles_freed
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -27,6 +27,7 @@ def shared_folder(spark: SparkSession) -> str:
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back; the files go when the application ends."""
     spark = df.sparkSession
+    bound_arrow_batches(spark)
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
     with shuffles_freed(spark):
         df.write.parquet(path)

@@ -19,7 +19,7 @@ PUNCTUATED = SPACED.copy()
 PUNCTUATED[[*range(33, 48), *range(58, 65), *range(91, 95), 96, *range(123, 127)]] = 2
 _powers = np.ones(1, np.uint64)
 #: bytes of text hashed at a time
-CHUNK_BYTES = 1_000_000
+CHUNK_BYTES = 250_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
